@@ -1,0 +1,116 @@
+import random
+
+import pytest
+
+from platewatch.operators.cotravel import (
+    cotravel_groups,
+    cotravel_members,
+    cotravel_pairs,
+    cotravel_result,
+)
+from tests.fixtures import companions, hot_copies, members, plan_of, random_rows, sightings
+
+A = ("10:00:00", "10:10:00", "10:20:00")
+
+
+def trips(**plates):
+    rows = []
+    for plate, (times, sites) in plates.items():
+        rows += [(plate, time, site, 113.0, 22.0) for time, site in zip(times, sites)]
+    return rows
+
+
+def found(spark, rows, **rule):
+    frame = cotravel_members(sightings(spark, rows), **rule)
+    return {(tuple(r.gram), r.plate) for r in frame.collect()}
+
+
+def plates(spark, rows, **rule):
+    return {plate for _, plate in found(spark, rows, **rule)}
+
+
+SITES = ("k1", "k2", "k3")
+
+
+@pytest.mark.parametrize(
+    "times, sites, any_position, every_position",
+    [
+        (("10:01:00", "10:11:00", "10:21:00"), SITES, "AB", "AB"),
+        (("10:02:00", "10:30:00", "10:50:00"), SITES, "AB", ""),
+        (("10:03:00", "10:30:00", "10:50:00"), SITES, "AB", ""),
+        (("10:03:01", "10:30:00", "10:50:00"), SITES, "", ""),
+        (A, ("k1", "k3", "k2"), "", ""),
+        (("10:00:00", "10:10:00"), SITES, "", ""),
+    ],
+)
+def test_cases(spark, times, sites, any_position, every_position):
+    rows = trips(A=(A, SITES), B=(times, sites))
+    assert plates(spark, rows) == set(any_position)
+    assert plates(spark, rows, match="all") == set(every_position)
+    assert plates(spark, rows[::-1]) == set(any_position)
+
+
+@pytest.mark.parametrize("match", ["any", "all"])
+def test_company_of_oneself_only_on_request(spark, match):
+    times = ("10:00:00", "10:01:00", "10:02:00", "10:03:00")
+    rows = trips(A=(times, ("k1",) * 4))
+    assert plates(spark, rows, match=match) == set()
+    assert plates(spark, rows, match=match, allow_self=True) == {"A"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("match", ["any", "all"])
+@pytest.mark.parametrize("allow_self", [False, True])
+def test_members_are_those_of_brute_force(spark, seed, match, allow_self):
+    rng = random.Random(seed)
+    rows = hot_copies(rng, 150, span=9000) if seed == 2 else random_rows(rng, 150, plates=20, sites=2, span=40_000)
+    rule = dict(match=match, allow_self=allow_self)
+    tolerance = 180 if match == "any" else 1500
+    expected = members(rows, tolerance=tolerance, **rule)
+    assert expected
+    assert found(spark, rows, tolerance_s=tolerance, **rule) == expected
+    assert found(spark, rows, tolerance_s=tolerance, heavy={"p0": 9}, piece_rows=5, **rule) == expected
+
+
+def test_pairs_are_those_of_brute_force(spark):
+    rows = random_rows(random.Random(7), 150, plates=20, sites=2, span=20_000)
+    got = [tuple([tuple(r.gram), r.plate_a, r.plate_b]) for r in cotravel_pairs(sightings(spark, rows)).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {c for c in companions(rows) if c[1] < c[2]}
+
+
+def test_times_on_both_sides_of_a_stretch_meet(spark):
+    rows = trips(A=(("10:59:58", "11:30:00", "12:30:00"), SITES), B=(("11:02:58", "11:50:00", "12:50:00"), SITES))
+    assert plates(spark, rows) == {"A", "B"}
+
+
+def test_large_groups_go_on_in_further_rows(spark):
+    everyone = [f"p{i}" for i in range(100)]
+    frame = spark.createDataFrame([(["a", "b", "c"], p) for p in everyone] + [(["a"], "p1")], "gram array<string>, plate string")
+    groups = cotravel_groups(frame, group_plates=20).collect()
+    large = [r for r in groups if len(r.gram) == 3]
+    assert {r.part for r in large} == set(range(5))
+    assert sorted(p for r in large for p in r.plates) == sorted(everyone)
+    assert [(r.part, r.plates) for r in groups if len(r.gram) == 1] == [(0, ["p1"])]
+    assert [r.plates for r in cotravel_groups(frame).collect() if len(r.gram) == 3] == [sorted(everyone)]
+
+
+def test_result_layout(spark):
+    rows = trips(A=(A, SITES), B=(A, SITES))
+    result = cotravel_result(cotravel_groups(cotravel_members(sightings(spark, rows))), 5, "2024-02-01 00:00:00")
+    row = result.first()
+    assert result.columns == ["ID", "JSBH", "HPHM", "KKBH", "CREATE_TIME"]
+    assert (row.JSBH, row.HPHM, row.KKBH, row.CREATE_TIME) == ("5", "A,B", "k1,k2,k3", "2024-02-01 00:00:00")
+
+
+def test_plans_join_on_keys_without_python(spark):
+    rows = sightings(spark, random_rows(random.Random(1), 50))
+    for frame in (cotravel_members(rows), cotravel_members(rows, match="all"), cotravel_pairs(rows)):
+        plan = plan_of(frame)
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        assert "Python" not in plan
+
+
+def test_unknown_rule(spark):
+    with pytest.raises(ValueError):
+        cotravel_members(sightings(spark, trips(A=(A, SITES))), match="some")

@@ -1,0 +1,151 @@
+import json
+
+import pytest
+
+from platewatch.sources import kafka
+from platewatch.sources.events import read_events
+from platewatch.sources.files import read_sighting_table, read_sightings, typed_sightings
+from platewatch.sources.jdbc import Database, Slices, watchlist_of
+from platewatch.sources.messages import decode_messages
+from tests.fixtures import at, plain, plan_of
+
+HEADER = "ID,HPHM,CLPP,CLYS,TGSJ,KKBH,KK_LON_LAT"
+
+
+def write(path, lines):
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def test_csv_rows_are_typed_or_set_aside(spark, tmp_path):
+    path = write(
+        tmp_path / "s.csv",
+        [
+            HEADER,
+            "1,T-0001,b1,c1,2024-01-01 12:30:00,k1,113.00_22.00",
+            "2,T-0002,b1,c1,bad,k1,113.00_22.00",
+            "3,T-0003,b1,c1,2024-01-01 10:00:00,k1,x_22.00",
+            "4,T-0004,b1,c1,2024-01-01 10:00:00,k1,113.00",
+            "5,,b1,c1,2024-01-01 10:00:00,k1,113.00_22.00",
+            "6,T-0006,b1,c1,2024-01-01 10:00:00,,113.00_22.00",
+            "7,T-0007,,,2024-01-01 10:00:00,k_2,-113.00_-22.00",
+            "8,T-0008,b1,c1,2024-01-01 10:00:00,k1,113.00_NaN",
+            "9,T-0009,b1,c1,2024-01-01 10:00:00,k1,113.00_91.0",
+        ],
+    )
+    good, bad = read_sightings(spark, path)
+    assert plain(good) == [
+        ("1", "T-0001", "b1", "c1", at("12:30:00"), "k1", 113.0, 22.0),
+        ("7", "T-0007", None, None, at("10:00:00"), "k_2", -113.0, -22.0),
+    ]
+    assert {r.id: r.reason for r in bad.collect()} == {
+        "2": "time",
+        "3": "position",
+        "4": "position",
+        "5": "plate",
+        "6": "site",
+        "8": "position",
+        "9": "position",
+    }
+    assert bad.where("id = '2'").first().time_text == "bad"
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = write(
+        tmp_path / "s.csv",
+        ["extra,kk_lon_lat,KKBH,TGSJ,CLYS,CLPP,HPHM,ID", "z,1.5_2.5,k1,2024-01-01 10:00:00,c,b,T,9"],
+    )
+    good, bad = read_sightings(spark, path)
+    assert plain(good) == [("9", "T", "b", "c", at("10:00:00"), "k1", 1.5, 2.5)]
+    assert bad.count() == 0
+
+
+def test_table_source(spark, tmp_path):
+    path = write(tmp_path / "s.csv", [HEADER, "1,T,b,c,2024-01-01 10:00:00,k1,1_2"])
+    spark.read.option("header", True).csv(path).createOrReplaceTempView("t_sightings")
+    assert read_sighting_table(spark, "t_sightings").sightings.count() == 1
+
+
+def test_missing_columns_set_rows_aside(spark):
+    raw = spark.createDataFrame([("1", "T")], "ID string, HPHM string")
+    good, bad = typed_sightings(raw)
+    assert good.count() == 0
+    assert bad.first().reason == "time"
+
+
+def test_csv_scan_reads_only_what_is_used(spark, tmp_path):
+    path = write(tmp_path / "s.csv", [HEADER, "1,T,b,c,2024-01-01 10:00:00,k1,1_2"])
+    plan = plan_of(read_sightings(spark, path).sightings.select("plate"))
+    assert "CLPP" not in plan.split("ReadSchema:")[-1]
+
+
+def test_cutoff_and_columns_reach_the_parquet_scan(spark):
+    rows = read_events(spark, "/root/testdata/sf0.001", at("12:00:00"))
+    assert rows.count() == rows.where(rows.pass_time > at("12:00:00")).count()
+    plan = plan_of(rows.select("plate"))
+    assert "GreaterThanOrEqual(ts,2024-01-01T12:00:01)" in plan
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
+
+
+MESSAGE = json.dumps(
+    [
+        {"HPHM": "T-0001", "CLPP": "b1", "CLYS": "c1", "TGSJ": "2024-01-01 10:00:00", "KKBH": "k1"},
+        {"HPHM": "T-0002", "CLPP": "b2", "CLYS": "c2", "TGSJ": "2024-01-01 10:00:05"},
+    ]
+)
+
+
+def test_messages_become_rows(spark):
+    frame = spark.createDataFrame([(MESSAGE,), ("bad",), (None,), ("[]",)], "value string")
+    rows, dead = decode_messages(frame)
+    assert plain(rows.drop("id")) == [
+        ("T-0001", "b1", "c1", at("10:00:00"), "k1"),
+        ("T-0002", "b2", "c2", at("10:00:05"), None),
+    ]
+    assert {r.value for r in dead.collect()} == {"bad", None}
+
+
+def test_sent_twice_is_two_sightings_with_places_in_a_topic(spark):
+    frame = spark.createDataFrame(
+        [(MESSAGE, "t", 0, 5), (MESSAGE, "t", 0, 6)], "value string, topic string, partition int, offset long"
+    )
+    ids = [r.id for r in decode_messages(frame).sightings.collect()]
+    assert sorted(ids) == ["t-0-5-0", "t-0-5-1", "t-0-6-0", "t-0-6-1"]
+
+
+def test_topic_settings():
+    assert kafka.subscription("h:1", "a,b", group="g") == {
+        "kafka.bootstrap.servers": "h:1",
+        "subscribe": "a,b",
+        "startingOffsets": "latest",
+        "kafka.group.id": "g",
+    }
+    options = kafka.assignment("h:1", {"a": {1: 42}})
+    assert json.loads(options["assign"]) == {"a": [1]}
+    assert json.loads(options["startingOffsets"]) == {"a": {"1": 42}}
+
+
+@pytest.mark.parametrize("rows, offset", [([], 1), ([(3,), (8,)], 8)])
+def test_stored_offset(spark, rows, offset):
+    frame = spark.createDataFrame(rows, "offset int").coalesce(1)
+    assert kafka.stored_offset(frame) == offset
+
+
+def test_database_settings(monkeypatch):
+    monkeypatch.setenv("PLATEWATCH_JDBC_USER", "someone")
+    monkeypatch.setenv("PLATEWATCH_JDBC_PASSWORD", "secret")
+    database = Database("jdbc:x:y")
+    options = database.options("t")
+    assert (options["url"], options["dbtable"], options["user"], options["password"]) == (
+        "jdbc:x:y",
+        "t",
+        "someone",
+        "secret",
+    )
+    assert "secret" not in repr(Database("jdbc:x:y", password="secret"))
+    assert Slices("n", "0", "9", 3).options()["numPartitions"] == "3"
+
+
+def test_watchlist_of_a_report(spark):
+    report = spark.createDataFrame([("A", 1), ("B", 2), ("A", 3), (None, 4)], "hphm string, jsbh long")
+    assert plain(watchlist_of(report)) == [("A",), ("B",)]
