@@ -20,7 +20,10 @@ from platewatch.functions.geo import (
 from platewatch.model import MAX_KMH
 from platewatch.operators.scan import sightings_since, stamp_run
 from platewatch.operators.sequences import consecutive
-from platewatch.operators.skew import heavy_keys, split_rows
+from platewatch.operators.skew import above_limit, split_rows
+
+# Pairs grow with the square of a plate's sightings, so fewer than elsewhere are many.
+HEAVY_ROWS = 20_000
 
 _SPOT = ["plate", "site_id", "pass_time", *SPHERE]
 _SIDE = ["id", "site_id", "pass_time", "sec", *SPHERE]
@@ -108,22 +111,24 @@ def pair_key(id_a: str, id_b: str) -> Column:
     return F.md5(F.concat_ws("|", F.col(id_a).cast("string"), F.col(id_b).cast("string")))
 
 
-def longest_gap(sightings: DataFrame, max_kmh: float) -> tuple[int, int]:
-    """Seconds beyond which no two of these sightings make a fast pair, and their number."""
-    total, *box = sightings.agg(
-        F.count("*"), F.min("lon"), F.min("lat"), F.max("lon"), F.max("lat")
-    ).first()
-    if None in box:
-        return 0, total
-    return longest_flagged_gap_s(widest_distance_km(*box), max_kmh), total
-
-
 def _measure(rows, max_kmh, max_gap_s, heavy):
-    total = None
+    """What is not given of the longest gap of a fast pair and the heavy plates, in one job."""
+    if max_gap_s is not None and heavy is not None:
+        return rows, max_gap_s, heavy
+    plates = rows.groupBy("plate").agg(
+        F.count("*").alias("n"),
+        F.min("lon").alias("west"),
+        F.min("lat").alias("south"),
+        F.max("lon").alias("east"),
+        F.max("lat").alias("north"),
+    )
+    total, largest, *box = plates.agg(
+        F.sum("n"), F.max("n"), F.min("west"), F.min("south"), F.max("east"), F.max("north")
+    ).first()
     if max_gap_s is None:
-        max_gap_s, total = longest_gap(rows, max_kmh)
+        max_gap_s = 0 if None in box else longest_flagged_gap_s(widest_distance_km(*box), max_kmh)
     if heavy is None:
-        heavy = heavy_keys(rows, "plate", total=total)
+        heavy = above_limit(plates, "plate", total, largest, HEAVY_ROWS)
     return rows, max_gap_s, heavy
 
 
@@ -164,7 +169,7 @@ def _fast_pairs(rows, max_gap_s, max_kmh, flag_simultaneous):
     elsewhere = F.lit(False)
     for one, other in zip(_on("a", SPHERE), _on("b", SPHERE)):
         elsewhere = elsewhere | (one != other)
-    near = earlier.hint("merge").join(later, ["plate", "bin"]).where(ordered & (gap <= width) & elsewhere)
+    near = earlier.hint("merge").join(later, ["bin", "plate"]).where(ordered & (gap <= width) & elsewhere)
     return _with_speed(near).where(_too_fast(max_kmh, flag_simultaneous))
 
 

@@ -1,20 +1,28 @@
 """Vehicles that travel together: the same sequence of sites, close in time.
 
-Plates are first reduced to cells, one per sequence, position and second, which combine
-before they shuffle.  Whether a cell has company is then decided on cells alone, in
-stretches of time that overlap by the tolerance, so that no sequence, however common,
-has to sit in one task, and pairs are never listed to find the plates.
+Runs of sites are sorted by time within each sequence, position and stretch of time;
+stretches overlap by the tolerance.  Company is then a matter of neighbours in that order,
+so the plates are found in one pass, without listing pairs.
+
+Rows of plates or sites too common for one task are first reduced to cells: one per
+sequence, position and second, with the smallest and largest plate.  A stretch holds no
+more cells than seconds, and the reduction combines before it shuffles.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from platewatch.functions.clock import format_time
+from platewatch.functions.clock import epoch_seconds
 from platewatch.model import SEQUENCE_LENGTH, TOLERANCE_S
+from platewatch.operators.scan import sightings_since
 from platewatch.operators.sequences import site_sequences
+from platewatch.operators.skew import PIECE_ROWS, heavy_keys, is_heavy
+from platewatch.session import shared_folder
 
 GROUP_PLATES = 10_000
-_CELL = ["gram", "pos", "sec"]
+# Numbers first: sorting settles most comparisons on them.
+_CELL = ["sec", "pos", "gram"]
+_GROUP = ["stretch", "pos", "gram"]
 
 
 def cotravel_members(
@@ -33,14 +41,14 @@ def cotravel_members(
     position or at all of them (``match``).  With ``allow_self`` a second run of the same
     plate counts too.
     """
-    runs = site_sequences(sightings, n, since, clock12, **skew)
+    if match not in ("any", "all"):
+        raise ValueError(f"match is 'any' or 'all', not {match!r}")
+    runs, crowded = _runs(sightings, since, n, tolerance_s, clock12, **skew)
     if match == "any":
-        members = _accompanied(_positions(runs), tolerance_s, allow_self)
-    elif match == "all":
-        members = _accompanied_throughout(runs, n, tolerance_s, allow_self)
+        members = _neighbours(_positions(runs), crowded, tolerance_s, allow_self)
     else:
-        raise ValueError(f"match is 'any' or 'all', not {match!r}")
-    return members.select("gram", "plate").distinct()
+        members = _accompanied_throughout(runs, crowded, n, tolerance_s, allow_self)
+    return _sites(members.select("gram", "plate").distinct())
 
 
 def cotravel_groups(members: DataFrame, group_plates: int = GROUP_PLATES) -> DataFrame:
@@ -72,8 +80,9 @@ def cotravel_pairs(
 
     Only runs already known to have company are paired, within bins of the tolerance.
     """
-    runs = site_sequences(sightings, n, since, clock12, **skew)
-    rows = _accompanied(_positions(runs), tolerance_s, False).select(*_CELL, "plate").distinct()
+    runs, crowded = _runs(sightings, since, n, tolerance_s, clock12, **skew)
+    rows = _accompanied(_positions(runs), crowded, tolerance_s, False)
+    rows = _written(rows.select(*_CELL, "plate").distinct())
     width = tolerance_s + 1
     cell = F.floor(F.col("sec") / width)
     one = rows.select(
@@ -89,13 +98,8 @@ def cotravel_pairs(
     met = (F.col("plate_a") < F.col("plate_b")) & (
         F.abs(F.col("sec_a") - F.col("sec_b")) <= tolerance_s
     )
-    return (
-        one.hint("merge")
-        .join(other, ["gram", "pos", "bin"])
-        .where(met)
-        .select("gram", "plate_a", "plate_b")
-        .distinct()
-    )
+    pairs = one.hint("merge").join(other, ["bin", "pos", "gram"]).where(met)
+    return _sites(pairs.select("gram", "plate_a", "plate_b").distinct())
 
 
 def cotravel_result(groups: DataFrame, run_id: int, run_time) -> DataFrame:
@@ -110,67 +114,187 @@ def cotravel_result(groups: DataFrame, run_id: int, run_time) -> DataFrame:
     )
 
 
+def _stretch(tolerance_s):
+    """Length of the stretches of time that are looked at one by one."""
+    return max(900, 4 * tolerance_s)
+
+
+def _runs(sightings, since, n, tolerance_s, clock12, heavy=None, heavy_places=None, piece_rows=PIECE_ROWS):
+    """Runs of sites, and the test that tells their crowded positions.
+
+    Crowded is a position of a heavy plate, or at a site and in a stretch of time that
+    together hold too many sightings.
+    """
+    rows = sightings_since(sightings, since).dropna(subset=["plate", "site_id", "pass_time"])
+    rows = rows.withColumn("site_id", _escaped(F.col("site_id")))
+    second = epoch_seconds(F.col("pass_time"), clock12)
+    if heavy is None or heavy_places is None:
+        total = rows.count()
+        if heavy is None:
+            heavy = heavy_keys(rows, "plate", total=total)
+        if heavy_places is None:
+            places = rows.select(_place(F.col("site_id"), second, tolerance_s).alias("place"))
+            heavy_places = heavy_keys(places, "place", total=total)
+    crowded = None
+    if heavy or heavy_places:
+        site = F.get(F.split("gram", ","), F.col("pos"))
+        place = _place(site, F.col("sec"), tolerance_s)
+        crowded = is_heavy(F.col("plate"), heavy) | is_heavy(place, heavy_places)
+    runs = site_sequences(rows, n, None, clock12, heavy=heavy, piece_rows=piece_rows)
+    return runs.withColumn("gram", F.array_join("gram", ",")), crowded
+
+
+def _escaped(site):
+    """A site without commas, so that a sequence can be one text while it is shuffled."""
+    return F.replace(F.replace(site, F.lit("~"), F.lit("~0")), F.lit(","), F.lit("~1"))
+
+
+def _sites(rows):
+    """The sequence of sites as an array again."""
+
+    def plain(site):
+        return F.replace(F.replace(site, F.lit("~1"), F.lit(",")), F.lit("~0"), F.lit("~"))
+
+    return rows.withColumn("gram", F.transform(F.split("gram", ","), plain))
+
+
+def _place(site, second, tolerance_s):
+    return F.concat_ws("@", site, F.floor(second / _stretch(tolerance_s)).cast("string"))
+
+
 def _positions(runs):
-    return runs.select(
-        "gram", "plate", "first_id", "seconds", F.posexplode("seconds").alias("pos", "sec")
-    )
+    return runs.select("gram", "plate", F.posexplode("seconds").alias("pos", "sec"))
 
 
-def _accompanied(rows, tolerance_s, allow_self):
-    """Rows of (gram, pos, sec, plate, …) with another row, or plate, within the tolerance."""
-    cells = rows.groupBy(*_CELL).agg(
+def _items(rows: DataFrame, crowded: Column | None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with ``low`` and ``high`` plate and count ``n``; crowded ones as cells.
+
+    The second result is the crowded rows the cells stand for.
+    """
+    alone = [F.col("plate").alias("low"), F.col("plate").alias("high"), F.lit(1).cast("long").alias("n")]
+    if crowded is None:
+        return rows.select("*", *alone), None
+    hot = rows.where(crowded)
+    cells = hot.groupBy(*_CELL).agg(
         F.min("plate").alias("low"), F.max("plate").alias("high"), F.count("*").alias("n")
     )
-    stretch = max(3600, 4 * tolerance_s)
-    sec = F.col("sec")
-    home = F.floor(sec / stretch)
-    reach = [F.floor((sec + d) / stretch) for d in (-tolerance_s, 0, tolerance_s)]
-    around = (
-        Window.partitionBy("gram", "pos", "stretch").orderBy("sec").rangeBetween(-tolerance_s, tolerance_s)
-    )
-    if allow_self:
-        company = F.sum("n").over(around) > 1
-    else:
-        company = F.min("low").over(around) != F.max("high").over(around)
-    good = (
-        cells.withColumn("stretch", F.explode(F.array_distinct(F.array(*reach))))
-        .withColumn("company", company)
-        .where(F.col("company") & (F.col("stretch") == home))
-        .select(*_CELL)
+    light = rows.where(~crowded).select("*", *alone)
+    return light.unionByName(cells, allowMissingColumns=True), hot
+
+
+def _overlapping(items, tolerance_s, both_sides):
+    """Give each item to its own stretch and to those it reaches within the tolerance."""
+    length = _stretch(tolerance_s)
+    sides = (-tolerance_s, 0, tolerance_s) if both_sides else (0, tolerance_s)
+    reach = [F.floor((F.col("sec") + d) / length) for d in sides]
+    return items.withColumn("stretch", F.explode(F.array_distinct(F.array(*reach))))
+
+
+def _neighbours(rows, crowded, tolerance_s, allow_self):
+    """(gram, plate) of rows with company, possibly repeated.
+
+    Between a row and a partner of another plate the plate changes somewhere, first right
+    after a row of its own plate and within the tolerance.  So for the plates it is enough
+    to compare each item with the one before it and the one after it.
+    """
+    items, hot = _items(rows.select(*_CELL, "plate"), crowded)
+    bounds = ["low", "high"] if hot is not None else ["plate"]
+    order = Window.partitionBy(*_GROUP).orderBy("sec")
+    beside = {}
+    for name, shift in (("before", F.lag), ("after", F.lead)):
+        for c in ("sec", *([] if allow_self else bounds)):
+            beside[f"{c}_{name}"] = shift(c).over(order)
+    items = _overlapping(items, tolerance_s, both_sides=False).withColumns(beside)
+    inside = (F.col("n") > 1) if allow_self else (F.col("low") != F.col("high"))
+    company = F.lit(False)
+    for name in ("before", "after"):
+        meets = F.abs(F.col("sec") - F.col(f"sec_{name}")) <= tolerance_s
+        if not allow_self:
+            differ = F.lit(False)
+            for c in bounds:
+                differ = differ | (F.col(c) != F.col(f"{c}_{name}"))
+            meets = meets & differ
+        company = company | F.coalesce(meets, F.lit(False))
+    if hot is None:
+        return items.where(company).select("gram", "plate")
+    # A cell's plates all have company if it is not alone, or holds more than one itself.
+    full = items.where(company | inside).where(F.col("plate").isNull()).select(*_CELL).distinct()
+    return (
+        items.where(company & F.col("plate").isNotNull())
+        .select("gram", "plate")
+        .unionByName(hot.join(full, _CELL, "left_semi").select("gram", "plate"))
     )
-    return rows.join(good, _CELL, "left_semi")
 
 
-def _accompanied_throughout(runs, n, tolerance_s, allow_self):
+def _accompanied(rows, crowded, tolerance_s, allow_self):
+    """The rows that have another row, or plate, within the tolerance.
+
+    The nearest row of another plate lies just before the row's run of equal plates, or
+    just after it; the latter is the former in the opposite order.
+    """
+    items, hot = _items(rows, crowded)
+    items = _overlapping(items, tolerance_s, both_sides=True)
+    inside = F.col("n") > 1 if allow_self else F.col("low") != F.col("high")
+    company = inside
+    for turn in (1, -1):
+        sec, low, high = (F.col(c) if turn > 0 else F.col(c).desc() for c in ("sec", "low", "high"))
+        order = Window.partitionBy(*_GROUP).orderBy(sec, low, high)
+        previous = F.lag("sec").over(order)
+        if not allow_self:
+            same = (F.lag("low").over(order) == F.col("low")) & (F.lag("high").over(order) == F.col("high"))
+            changed = F.when(inside | ~same, previous)
+            items = items.withColumn("_changed", changed)
+            so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            previous = F.last("_changed", ignorenulls=True).over(so_far)
+        company = company | F.coalesce(F.abs(F.col("sec") - previous) <= tolerance_s, F.lit(False))
+        items = items.withColumn(f"_company_{turn}", company)
+        company = F.col(f"_company_{turn}")
+    home = F.floor(F.col("sec") / _stretch(tolerance_s))
+    good = items.where(company & (F.col("stretch") == home))
+    if hot is None:
+        return good.select(*rows.columns)
+    cells = good.where(F.col("plate").isNull()).select(*_CELL)
+    light = good.where(F.col("plate").isNotNull()).select(*rows.columns)
+    return light.unionByName(hot.join(cells, _CELL, "left_semi").select(*rows.columns))
+
+
+def _accompanied_throughout(runs, crowded, n, tolerance_s, allow_self):
     """Runs with another run of the sequence within the tolerance at every position.
 
-    Runs without company at the first position are out.  The rest fall into boxes one
-    tolerance wide in every position.  All runs of a box are near each other, so a box
-    with two plates settles them all; only the others look into the boxes around.
+    Runs without company at the first position are out; what is left is written down, as
+    it is used three times.  It falls into boxes one tolerance wide in every position.
+    All runs of a box are near each other, so a box with two plates settles them all; only
+    the others look into the boxes around.
     """
     first = runs.select("gram", "plate", "first_id", "seconds", F.lit(0).alias("pos")).withColumn(
         "sec", F.col("seconds")[0]
     )
-    rows = _accompanied(first, tolerance_s, allow_self)
     width = tolerance_s + 1
-    boxes = [F.floor(F.col("seconds")[i] / width).alias(f"box_{i}") for i in range(n)]
     names = [f"box_{i}" for i in range(n)]
-    rows = rows.select("gram", "plate", "first_id", "seconds", *boxes)
+    boxes = [F.floor(F.col("seconds")[i] / width).alias(name) for i, name in enumerate(names)]
     who = "first_id" if allow_self else "plate"
-    crowds = rows.groupBy("gram", *names).agg(
-        (F.min(who) != F.max(who)).alias("crowd")
-    )
-    rows = rows.join(crowds, ["gram", *names])
+    rows = _accompanied(first, crowded, tolerance_s, allow_self)
+    rows = rows.select("gram", "plate", F.col(who).alias("who"), "seconds", *boxes)
+    rows = _written(rows if allow_self else rows.distinct())
+
+    crowds = rows.groupBy(*names, "gram").agg((F.min("who") != F.max("who")).alias("crowd"))
+    rows = rows.join(crowds, [*names, "gram"])
     settled = rows.where("crowd").select("gram", "plate")
 
     lone = rows.where(~F.col("crowd")).drop("crowd")
     for name in names:
         lone = lone.withColumn(name, F.explode(F.array(*[F.col(name) + d for d in (-1, 0, 1)])))
     others = rows.select(
-        "gram", *names, F.col(who).alias("other"), F.col("seconds").alias("other_seconds")
-    ).distinct()
-    near = F.col("other") != F.col(who)
+        "gram", *names, F.col("who").alias("other"), F.col("seconds").alias("other_seconds")
+    )
+    near = F.col("other") != F.col("who")
     for i in range(n):
         near = near & (F.abs(F.col("seconds")[i] - F.col("other_seconds")[i]) <= tolerance_s)
-    found = lone.join(others, ["gram", *names]).where(near).select("gram", "plate")
+    found = lone.join(others, [*names, "gram"]).where(near).select("gram", "plate")
     return settled.unionByName(found)
+
+
+def _written(rows):
+    """Rows kept in the shared checkpoint folder, so that several uses compute them once."""
+    shared_folder(rows.sparkSession)
+    return rows.checkpoint()

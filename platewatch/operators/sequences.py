@@ -25,10 +25,13 @@ def consecutive(
     Ordinary plates take one window.  A heavy plate is cut into pieces: runs inside a
     piece come from a window per piece, runs across a cut from a second window over the
     ``n - 1`` rows on either side of every cut, which is all such a run can touch.
+    Sightings without a plate belong to no run.
     """
     if n < 2:
         raise ValueError("a sequence has at least two sightings")
-    rows = sightings.select("plate", *ORDER, F.struct(*carry).alias("step"))
+    rows = sightings.where(F.col("plate").isNotNull()).select(
+        "plate", *ORDER, F.struct(*carry).alias("step")
+    )
     if heavy is None:
         heavy = heavy_keys(rows, "plate")
     if not heavy:
@@ -103,7 +106,8 @@ def plate_trail(
     A trail longer than ``trail_rows`` continues in further rows, so that no array grows
     without bound; ``part`` rises with time within a plate (with gaps for heavy plates).
     """
-    rows = sightings_since(sightings, since).select("plate", "pass_time", "id", "site_id")
+    rows = sightings_since(sightings, since).where(F.col("plate").isNotNull())
+    rows = rows.select("plate", "pass_time", "id", "site_id")
     if heavy is None:
         heavy = heavy_keys(rows, "plate")
     if not heavy:

@@ -27,21 +27,30 @@ def heavy_keys(
     """
     if total is None:
         total = rows.count()
-    limit = max(min_rows, int(total * share))
-    if total <= limit:
+    if total <= min_rows:
         return {}
     counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    return {row[0]: row[1] for row in counts.where(F.col("n") > limit).collect()}
+    return above_limit(counts, key, total, total, min_rows, share)
+
+
+def above_limit(
+    counts: DataFrame, key: str, total: int, largest: int, min_rows: int, share: float = HEAVY_SHARE
+) -> dict:
+    """The keys of (key, n) rows that are over the limit for a table of ``total`` rows."""
+    limit = max(min_rows, int((total or 0) * share))
+    if (largest or 0) <= limit:
+        return {}
+    return {row[0]: row[1] for row in counts.where(F.col("n") > limit).select(key, "n").collect()}
 
 
 def split_rows(rows: DataFrame, key: str, heavy: dict) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys and rows of heavy keys."""
-    inside = is_heavy(key, heavy)
+    inside = is_heavy(F.col(key), heavy)
     return rows.where(~inside), rows.where(inside)
 
 
-def is_heavy(key: str, heavy: dict) -> Column:
-    return F.coalesce(F.col(key).isin([k for k in heavy if k is not None]), F.lit(False))
+def is_heavy(key: Column, heavy: dict) -> Column:
+    return F.coalesce(key.isin([k for k in heavy if k is not None]), F.lit(False))
 
 
 def in_pieces(rows: DataFrame, heavy: dict, order: list[str], piece_rows: int = PIECE_ROWS) -> DataFrame:

@@ -161,9 +161,10 @@ def watchlist_alerts(spark, folder):
 
 
 def _event_stream(spark, folder):
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return events_as_sightings(files.parquet(folder))
+    path = f"{folder}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    # As a pattern the path may be a file as well as a folder.
+    return events_as_sightings(spark.readStream.schema(schema).parquet(f"{folder}/events.{{parquet}}"))
 
 
 def _alerts_of(spark, start, sightings, load_plates, fields=ALERT_FIELDS, **options):

@@ -1,4 +1,5 @@
 import random
+from datetime import timezone
 
 import pytest
 
@@ -29,6 +30,10 @@ def plates(spark, rows, **rule):
     return {plate for _, plate in found(spark, rows, **rule)}
 
 
+def times(rows):
+    return [row[1].replace(tzinfo=timezone.utc) for row in rows]
+
+
 SITES = ("k1", "k2", "k3")
 
 
@@ -69,12 +74,17 @@ def test_members_are_those_of_brute_force(spark, seed, match, allow_self):
     expected = members(rows, tolerance=tolerance, **rule)
     assert expected
     assert found(spark, rows, tolerance_s=tolerance, **rule) == expected
-    assert found(spark, rows, tolerance_s=tolerance, heavy={"p0": 9}, piece_rows=5, **rule) == expected
+    places = {f"k0@{m.timestamp() // max(900, 4 * tolerance):.0f}": 1 for m in times(rows)}
+    for heavy in ({}, {"p0": 9}):
+        got = found(spark, rows, tolerance_s=tolerance, heavy=heavy, heavy_places=places, piece_rows=5, **rule)
+        assert got == expected
 
 
-def test_pairs_are_those_of_brute_force(spark):
+@pytest.mark.parametrize("heavy", [{}, {"p0": 9, "p1": 9}])
+def test_pairs_are_those_of_brute_force(spark, heavy):
     rows = random_rows(random.Random(7), 150, plates=20, sites=2, span=20_000)
-    got = [tuple([tuple(r.gram), r.plate_a, r.plate_b]) for r in cotravel_pairs(sightings(spark, rows)).collect()]
+    pairs = cotravel_pairs(sightings(spark, rows), heavy=heavy, heavy_places={})
+    got = [(tuple(r.gram), r.plate_a, r.plate_b) for r in pairs.collect()]
     assert len(got) == len(set(got))
     assert set(got) == {c for c in companions(rows) if c[1] < c[2]}
 
@@ -111,6 +121,12 @@ def test_plans_join_on_keys_without_python(spark):
         assert "Python" not in plan
 
 
+def test_sites_with_separators_stay_apart(spark):
+    sites = ("a,b", "c~", "~1d")
+    rows = trips(A=(A, sites), B=(A, sites), C=(A, ("a", "b,c~", "~1d")), D=(A, ("a,b", "c", "~~1d")))
+    assert found(spark, rows) == {(sites, "A"), (sites, "B")}
+
+
 def test_unknown_rule(spark):
     with pytest.raises(ValueError):
         cotravel_members(sightings(spark, trips(A=(A, SITES))), match="some")
