@@ -63,15 +63,30 @@ def clone_watchlist(
     max_gap_s: int | None = None,
     heavy: dict | None = None,
 ) -> DataFrame:
-    """The distinct plates of the fast pairs; copies of a sighting are not paired for it."""
+    """The distinct plates of the fast pairs.
+
+    A heavy plate with a fast pair among successive sightings is settled by that; only the
+    other heavy plates have their places and moments, without copies, paired.
+    """
     rows, max_gap_s, heavy = _measure(sightings_since(sightings, since), max_kmh, max_gap_s, heavy)
-    rows = _timed(rows, clock12)
-    light, hot = split_rows(rows, "plate", heavy) if heavy else (rows, None)
-    plates = _fast_pairs(light, max_gap_s, max_kmh, flag_simultaneous).select("plate")
-    if hot is not None:
-        hot_pairs = _fast_pairs(_spots(hot), max_gap_s, max_kmh, flag_simultaneous)
-        plates = plates.unionByName(hot_pairs.select("plate"))
-    return plates.distinct()
+    if not heavy:
+        return _fast_plates(_timed(rows, clock12), max_gap_s, max_kmh, flag_simultaneous)
+    light, hot = split_rows(rows, "plate", heavy)
+    plates = _fast_plates(_timed(light, clock12), max_gap_s, max_kmh, flag_simultaneous)
+    legs = clone_plate_adjacent(hot, None, max_kmh, clock12, flag_simultaneous, heavy=heavy)
+    # No longer than the list of heavy plates, which is bounded.
+    settled = [r.plate for r in legs.select("plate").distinct().collect()]
+    plates = plates.unionByName(hot.where(F.col("plate").isin(settled)).select("plate").distinct())
+    unsettled = {plate: n for plate, n in heavy.items() if plate not in set(settled)}
+    if unsettled:
+        _, hot = split_rows(hot, "plate", unsettled)
+        spots = _spots(_timed(hot, clock12))
+        plates = plates.unionByName(_fast_plates(spots, max_gap_s, max_kmh, flag_simultaneous))
+    return plates
+
+
+def _fast_plates(rows, max_gap_s, max_kmh, flag_simultaneous):
+    return _fast_pairs(rows, max_gap_s, max_kmh, flag_simultaneous).select("plate").distinct()
 
 
 def clone_plate_adjacent(

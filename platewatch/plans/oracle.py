@@ -124,8 +124,11 @@ _ALERTS = f"{_FAST} SELECT {_FIELDS} FROM s WHERE plate IN (SELECT plate FROM p)
 _POSITION = "CAST(lon AS VARCHAR) || '_' || CAST(lat AS VARCHAR)"
 _TIME = "strftime(pass_time, '%Y-%m-%d %H:%M:%S')"
 
+_SINCE = f"{_SIGHTINGS} SELECT {_FIELDS} FROM s WHERE pass_time > TIMESTAMP '{CUTOFF}'"
+
 ORACLE = {
-    "sightings_since": f"{_SIGHTINGS} SELECT {_FIELDS} FROM s WHERE pass_time > TIMESTAMP '{CUTOFF}'",
+    "sightings_since": _SINCE,
+    "sightings_since_sql": _SINCE,
     "plate_trail": f"""{_SIGHTINGS}
         SELECT plate, CAST(0 AS BIGINT) AS part, count(*) AS n,
                string_agg(site_id || '@' || {_TIME}, ';' ORDER BY pass_time, id) AS trail

@@ -32,6 +32,15 @@ def sightings_since(spark, folder):
     return read_events(spark, folder, CUTOFF).select(*ALERT_FIELDS)
 
 
+def sightings_since_sql(spark, folder):
+    """The same through a view and SQL text with a named parameter."""
+    read_events(spark, folder).createOrReplaceTempView("sightings")
+    return spark.sql(
+        f"SELECT {', '.join(ALERT_FIELDS)} FROM sightings WHERE pass_time > CAST(:cutoff AS TIMESTAMP_NTZ)",
+        args={"cutoff": str(CUTOFF)},
+    )
+
+
 def plate_trail(spark, folder):
     stops = F.transform("trail", lambda s: F.concat_ws("@", s["site_id"], format_time(s["pass_time"])))
     trails = sequences.plate_trail(read_events(spark, folder))
@@ -285,6 +294,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         sightings_since,
+        sightings_since_sql,
         plate_trail,
         site_sequences,
         site_sequences_of_five,
