@@ -5,6 +5,8 @@ sightings bounds the gap, so the pairs are found by an equi-join on plate and ti
 rather than by comparing all sightings of a plate.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +22,14 @@ from platewatch.functions.geo import (
 from platewatch.model import MAX_KMH
 from platewatch.operators.scan import sightings_since, stamp_run
 from platewatch.operators.sequences import consecutive
-from platewatch.operators.skew import above_limit, split_rows
+from platewatch.operators.skew import split_rows
+from platewatch.session import written
 
-# Pairs grow with the square of a plate's sightings, so fewer than elsewhere are many.
+# A plate with more sightings than this has its copies set aside before it is paired.
 HEAVY_ROWS = 20_000
+# Beyond this many such plates all plates are treated that way, so the list stays short.
+HEAVY_PLATES = 10_000
+EVERY_PLATE = "every plate"
 
 _SPOT = ["plate", "site_id", "pass_time", *SPHERE]
 _SIDE = ["id", "site_id", "pass_time", "sec", *SPHERE]
@@ -36,7 +42,7 @@ def clone_plate_pairs(
     clock12: bool = False,
     flag_simultaneous: bool = False,
     max_gap_s: int | None = None,
-    heavy: dict | None = None,
+    heavy: dict | str | None = None,
 ) -> DataFrame:
     """Every pair of a plate's sightings that is faster than ``max_kmh``, once.
 
@@ -44,14 +50,14 @@ def clone_plate_pairs(
     0.  ``max_gap_s`` and ``heavy`` save measuring the sightings where they are known.
     """
     rows, max_gap_s, heavy = _measure(sightings_since(sightings, since), max_kmh, max_gap_s, heavy)
-    rows = _timed(rows, clock12)
-    if not heavy:
-        return _pair_columns(_fast_pairs(rows, max_gap_s, max_kmh, flag_simultaneous))
-    light, hot = split_rows(rows, "plate", heavy)
-    spot_pairs = _fast_pairs(_spots(hot), max_gap_s, max_kmh, flag_simultaneous)
-    return _pair_columns(_fast_pairs(light, max_gap_s, max_kmh, flag_simultaneous)).unionByName(
-        _pair_columns(_all_copies(spot_pairs, hot))
-    )
+    rule = (max_gap_s, max_kmh, flag_simultaneous)
+    light, hot = _split(_timed(rows, clock12), heavy)
+    pairs = []
+    if light is not None:
+        pairs.append(_pair_columns(_fast_pairs(light, *rule)))
+    if hot is not None:
+        pairs.append(_pair_columns(_all_copies(_fast_pairs(_spots(hot), *rule), hot)))
+    return reduce(DataFrame.unionByName, pairs)
 
 
 def clone_watchlist(
@@ -61,7 +67,7 @@ def clone_watchlist(
     clock12: bool = False,
     flag_simultaneous: bool = False,
     max_gap_s: int | None = None,
-    heavy: dict | None = None,
+    heavy: dict | str | None = None,
 ) -> DataFrame:
     """The distinct plates of the fast pairs.
 
@@ -69,20 +75,26 @@ def clone_watchlist(
     other heavy plates have their places and moments, without copies, paired.
     """
     rows, max_gap_s, heavy = _measure(sightings_since(sightings, since), max_kmh, max_gap_s, heavy)
+    rule = (max_gap_s, max_kmh, flag_simultaneous)
+    light, hot = _split(rows, heavy)
+    plates = []
+    if light is not None:
+        plates.append(_fast_plates(_timed(light, clock12), *rule))
+    if hot is not None:
+        legs = clone_plate_adjacent(hot, None, max_kmh, clock12, flag_simultaneous)
+        settled = written(legs.select("plate").distinct())
+        others = hot.join(settled, "plate", "left_anti")
+        plates += [settled, _fast_plates(_spots(_timed(others, clock12)), *rule)]
+    return reduce(DataFrame.unionByName, plates)
+
+
+def _split(rows, heavy):
+    """Rows of ordinary and of heavy plates, None for a part that cannot have any."""
     if not heavy:
-        return _fast_plates(_timed(rows, clock12), max_gap_s, max_kmh, flag_simultaneous)
-    light, hot = split_rows(rows, "plate", heavy)
-    plates = _fast_plates(_timed(light, clock12), max_gap_s, max_kmh, flag_simultaneous)
-    legs = clone_plate_adjacent(hot, None, max_kmh, clock12, flag_simultaneous, heavy=heavy)
-    # No longer than the list of heavy plates, which is bounded.
-    settled = [r.plate for r in legs.select("plate").distinct().collect()]
-    plates = plates.unionByName(hot.where(F.col("plate").isin(settled)).select("plate").distinct())
-    unsettled = {plate: n for plate, n in heavy.items() if plate not in set(settled)}
-    if unsettled:
-        _, hot = split_rows(hot, "plate", unsettled)
-        spots = _spots(_timed(hot, clock12))
-        plates = plates.unionByName(_fast_plates(spots, max_gap_s, max_kmh, flag_simultaneous))
-    return plates
+        return rows, None
+    if heavy == EVERY_PLATE:
+        return None, rows
+    return split_rows(rows, "plate", heavy)
 
 
 def _fast_plates(rows, max_gap_s, max_kmh, flag_simultaneous):
@@ -137,13 +149,17 @@ def _measure(rows, max_kmh, max_gap_s, heavy):
         F.max("lon").alias("east"),
         F.max("lat").alias("north"),
     )
-    total, largest, *box = plates.agg(
-        F.sum("n"), F.max("n"), F.min("west"), F.min("south"), F.max("east"), F.max("north")
+    many = F.col("n") > HEAVY_ROWS
+    count, *box = plates.agg(
+        F.count_if(many), F.min("west"), F.min("south"), F.max("east"), F.max("north")
     ).first()
     if max_gap_s is None:
         max_gap_s = 0 if None in box else longest_flagged_gap_s(widest_distance_km(*box), max_kmh)
     if heavy is None:
-        heavy = above_limit(plates, "plate", total, largest, HEAVY_ROWS)
+        if count > HEAVY_PLATES:
+            heavy = EVERY_PLATE
+        else:
+            heavy = dict(plates.where(many).select("plate", "n").collect()) if count else {}
     return rows, max_gap_s, heavy
 
 

@@ -17,7 +17,7 @@ from platewatch.model import SEQUENCE_LENGTH, TOLERANCE_S
 from platewatch.operators.scan import sightings_since
 from platewatch.operators.sequences import site_sequences
 from platewatch.operators.skew import PIECE_ROWS, heavy_keys, is_heavy
-from platewatch.session import shared_folder
+from platewatch.session import written
 
 GROUP_PLATES = 10_000
 # Numbers first: sorting settles most comparisons on them.
@@ -82,7 +82,8 @@ def cotravel_pairs(
     """
     runs, crowded = _runs(sightings, since, n, tolerance_s, clock12, **skew)
     rows = _accompanied(_positions(runs), crowded, tolerance_s, False)
-    rows = _written(rows.select(*_CELL, "plate").distinct())
+    rows = rows.select(*_CELL, "plate")
+    rows = written(rows if crowded is None else rows.distinct())
     width = tolerance_s + 1
     cell = F.floor(F.col("sec") / width)
     one = rows.select(
@@ -275,7 +276,9 @@ def _accompanied_throughout(runs, crowded, n, tolerance_s, allow_self):
     who = "first_id" if allow_self else "plate"
     rows = _accompanied(first, crowded, tolerance_s, allow_self)
     rows = rows.select("gram", "plate", F.col(who).alias("who"), "seconds", *boxes)
-    rows = _written(rows if allow_self else rows.distinct())
+    if crowded is not None and not allow_self:
+        rows = rows.distinct()
+    rows = written(rows)
 
     crowds = rows.groupBy(*names, "gram").agg((F.min("who") != F.max("who")).alias("crowd"))
     rows = rows.join(crowds, [*names, "gram"])
@@ -293,8 +296,3 @@ def _accompanied_throughout(runs, crowded, n, tolerance_s, allow_self):
     found = lone.join(others, [*names, "gram"]).where(near).select("gram", "plate")
     return settled.unionByName(found)
 
-
-def _written(rows):
-    """Rows kept in the shared checkpoint folder, so that several uses compute them once."""
-    shared_folder(rows.sparkSession)
-    return rows.checkpoint()

@@ -6,6 +6,8 @@ All of these take a table or a stream on the left and a table on the right.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platewatch.session import written
+
 # Largest plate set that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -30,7 +32,7 @@ def frozen(plates: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     What was read stays the same for the life of a stream, also after executors are lost.
     Only a set measured to be small is broadcast; a larger one joins by shuffle.
     """
-    kept = plates.checkpoint()
+    kept = written(plates)
     size = F.count("*") * 16 * len(kept.columns) + F.sum(F.octet_length(F.col("plate")))
     measured = kept.agg(size).first()[0] or 0
     return F.broadcast(kept) if measured <= max_bytes else kept

@@ -29,18 +29,9 @@ def heavy_keys(
         total = rows.count()
     if total <= min_rows:
         return {}
+    limit = max(min_rows, int(total * share))
     counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    return above_limit(counts, key, total, total, min_rows, share)
-
-
-def above_limit(
-    counts: DataFrame, key: str, total: int, largest: int, min_rows: int, share: float = HEAVY_SHARE
-) -> dict:
-    """The keys of (key, n) rows that are over the limit for a table of ``total`` rows."""
-    limit = max(min_rows, int((total or 0) * share))
-    if (largest or 0) <= limit:
-        return {}
-    return {row[0]: row[1] for row in counts.where(F.col("n") > limit).select(key, "n").collect()}
+    return dict(counts.where(F.col("n") > limit).select(key, "n").collect())
 
 
 def split_rows(rows: DataFrame, key: str, heavy: dict) -> tuple[DataFrame, DataFrame]:

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,3 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/platewatch/{name}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """Rows kept in the shared folder, so that several uses, or lost executors, compute them once."""
+    shared_folder(rows.sparkSession)
+    return rows.checkpoint()

@@ -20,7 +20,6 @@ from platewatch.operators.membership import (
     seen_before_repeated,
     watchlist_alerts,
 )
-from platewatch.session import shared_folder
 
 Join = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -41,8 +40,6 @@ def start_alerts(
     ``refresh_plates`` each micro-batch reads them anew, and the join goes by what the
     adaptive execution measures.
     """
-    spark = sightings.sparkSession
-    shared_folder(spark)
     fixed = None if refresh_plates else frozen(load_plates())
 
     def write(batch: DataFrame, batch_id: int) -> None:

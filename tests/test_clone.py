@@ -1,7 +1,9 @@
 import random
+from datetime import timedelta
 
 import pytest
 
+from platewatch.operators import clone
 from platewatch.operators.clone import (
     clone_plate_adjacent,
     clone_plate_pairs,
@@ -13,6 +15,11 @@ from platewatch.sinks.results import clone_result
 from tests.fixtures import at, fast_pairs, hot_copies, plain, plan_of, random_rows, sightings
 
 
+# Seconds and degrees of three sightings on the equator, 1.28 km and 20 s apart: each leg
+# counts as 1 km, the whole way as 3 km.
+DRIFT = [(0, 0.0), (20, 0.0115), (40, 0.023)]
+
+
 def two(start, end):
     return [("T", start, "k1", 113.0, 0.0), ("T", end, "k2", 114.0, 0.0)]
 
@@ -69,7 +76,7 @@ def test_missing_positions_match_nothing(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("heavy", [{}, {"p0": 100}])
+@pytest.mark.parametrize("heavy", [{}, {"p0": 100}, clone.EVERY_PLATE])
 def test_pairs_are_those_of_brute_force(spark, seed, heavy):
     rng = random.Random(seed)
     rows = hot_copies(rng, 150) if seed else random_rows(rng, 200, hot="p0")
@@ -83,6 +90,28 @@ def test_pairs_are_those_of_brute_force(spark, seed, heavy):
     assert {r.plate for r in clone_watchlist(frame, heavy=heavy).collect()} == plates
 
 
+def test_heavy_plates_are_found(spark, monkeypatch):
+    rows = random_rows(random.Random(3), 120, hot="p0")
+    frame, seen = sightings(spark, rows), []
+    split = clone._split
+    monkeypatch.setattr(clone, "_split", lambda r, heavy: (seen.append(heavy), split(r, heavy))[1])
+    for many, plates in ((1000, 10), (30, 10), (5, 2)):
+        monkeypatch.setattr(clone, "HEAVY_ROWS", many)
+        monkeypatch.setattr(clone, "HEAVY_PLATES", plates)
+        pairs = {tuple(sorted((r.id_a, r.id_b))) for r in clone_plate_pairs(frame).collect()}
+        assert pairs == fast_pairs(rows)
+    assert seen == [{}, {"p0": frame.where("plate = 'p0'").count()}, clone.EVERY_PLATE]
+
+
+def test_a_heavy_plate_with_only_a_distant_fast_pair_is_listed(spark):
+    # Rounding makes the whole way fast although neither of its legs is.
+    rows = [("T", at("10:00:00") + timedelta(seconds=s), f"k{s}", 113 + x, 0.0) for s, x in DRIFT]
+    frame = sightings(spark, rows)
+    assert clone_plate_adjacent(frame).count() == 0 and fast_pairs(rows)
+    for heavy in ({}, {"T": 3}):
+        assert [r.plate for r in clone_watchlist(frame, heavy=heavy).collect()] == ["T"]
+
+
 def test_heavy_way_gives_the_same_rows(spark):
     rows = sightings(spark, hot_copies(random.Random(9), 120, span=300))
     for simultaneous in (False, True):
