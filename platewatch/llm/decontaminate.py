@@ -7,12 +7,15 @@ Hamming distance.  A sample of the steps is a hash key; repeated with fresh walk
 until simulated edits at the limit are found with the wanted recall.  What shares a key
 with an item is verified by its exact edit distance.
 
-Two savings lose nothing.  Words that no item has are one symbol, as they match nothing.  A
-window with fewer item words than the limit on edits leaves possible is not embedded.
+Three savings lose nothing.  Words that no item has are one symbol, as they match nothing.  An
+item cut into one piece more than the edits allowed has a piece that stays whole, so only windows
+with the first words of some piece are embedded, and of these only windows with as many words of
+items as the limit demands.
 """
 
 import re
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,20 +30,32 @@ MAX_REPEATS = 256
 BLOCK_BYTES = 1 << 23
 CALIBRATION_ITEMS = 64
 SEED = 29
+# Pieces have three words at least, whatever the length of the item.
+SEED_WORDS = 3
+SEED_BITS = 20
 
-_WORDS = re.compile(r"\w+").findall
+_FOREIGN_MARKS = re.compile(r"[^\w\x00-\x7f]+")
+_PLAIN = bytes(c if c > 127 or chr(c).isalnum() or chr(c) == "_" else 32 for c in range(256))
 _HITS = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32()), ("start", pa.int32())]))
 
 
-def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters, digits and underscores."""
-    return _WORDS((text or "").lower())
+def words_of(text: str | None) -> list[bytes]:
+    """Lower-cased runs of letters, digits and underscores, in UTF-8."""
+    text = (text or "").lower()
+    if not text.isascii():
+        text = _FOREIGN_MARKS.sub(" ", text)
+    return text.encode("utf-8", "replace").translate(_PLAIN).split()
 
 
 def edit_limit(count: int, share: float = EDITS_SHARE) -> int:
     return int(count * share + 1e-9)
 
 
+def seed_codes(codes: np.ndarray) -> np.ndarray:
+    """A number for every three codes in a row."""
+    return (codes[:-2] * np.uint64(0x9E3779B97F4A7C15) + codes[1:-1]) * np.uint64(0xBF58476D1CE4E5B9) + codes[2:]
+
+
 def edit_distance(masks: dict, length: int, window) -> int:
     """Edits between an item, given as bit masks of its words' places, and a window.
 
@@ -75,17 +90,25 @@ class Walks:
         self.turns = random.integers(0, 1 << 63, (repeats, total), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
         self.sampled = np.stack([np.sort(random.choice(total, min(steps, total), replace=False)) for _ in range(repeats)])
 
-    def keys(self, codes: np.ndarray, starts: np.ndarray, repeat: int) -> np.ndarray:
-        """The hash key of every window; codes are random numbers of the words, 0 after a window's end."""
-        at, end = starts.copy(), starts + self.length
-        key = np.zeros(len(starts), np.uint64)
-        sampled, turns = set(self.sampled[repeat].tolist()), self.turns[repeat]
-        for step in range(self.sampled[repeat][-1] + 1):
-            code = np.where(at < end, codes[np.minimum(at, len(codes) - 1)], np.uint64(0))
-            if step in sampled:
-                key = (key ^ code) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(step)
-                key ^= key >> np.uint64(29)
-            at += (code * turns[step] >> np.uint64(63)).astype(at.dtype)
+        self.last = int(self.sampled.max())
+        self.taken = [np.flatnonzero((self.sampled == step).any(1)) for step in range(self.last + 1)]
+
+    def keys(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The hash key of every window in every repeat; codes are the words' random numbers, 0 after a window's end."""
+        places = starts[:, None] + np.arange(self.length + 1)
+        cells = codes[np.minimum(places, len(codes) - 1)]
+        cells[places >= len(codes)] = 0
+        cells[:, -1] = 0
+        first = np.tile(np.arange(len(starts)) * (self.length + 1), (self.repeats, 1))
+        at, end, cells = first.copy(), first + self.length, cells.ravel()
+        key = np.zeros(at.shape, np.uint64)
+        for step, taken in enumerate(self.taken):
+            code = cells[at]
+            if len(taken):
+                mixed = (key[taken] ^ code[taken]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(step)
+                key[taken] = mixed ^ mixed >> np.uint64(29)
+            at += (code * self.turns[:, step, None] >> np.uint64(63)).view(np.int64)
+            np.minimum(at, end, out=at)
         return key
 
 
@@ -96,42 +119,52 @@ class Index:
     vocabulary: dict
     codes: np.ndarray
     groups: list
+    seeds: dict
+    seeded: np.ndarray
 
     def search(self, text: str | None) -> list[dict]:
         """Item, smallest number of edits, and first word of the best (first) window, per item found."""
         words = words_of(text)
+        if len(words) < SEED_WORDS:
+            return []
         get = self.vocabulary.get
-        symbols = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
-        known = np.concatenate(([0], np.cumsum(symbols > 0)))
+        symbols = np.array(list(map(get, words, repeat(0))))
+        codes = self.codes[symbols]
+        triples = seed_codes(codes)
+        near: dict[int, list[int]] = {}
+        for place in np.flatnonzero(self.seeded[triples >> np.uint64(64 - SEED_BITS)]).tolist():
+            for g in self.seeds.get(int(triples[place]), ()):
+                near.setdefault(g, []).append(place)
         best: dict[int, tuple[int, int]] = {}
-        codes = None
-        for group in self.groups:
+        for g, places in near.items():
+            group = self.groups[g]
             length, walks = group["length"], group["walks"]
-            if len(words) + group["limit"] < length or not len(words):
-                continue
-            # A text a few words short of the item is one window by itself.
-            spans = np.minimum(np.arange(max(1, len(words) - length + 1)) + length, len(words))
-            starts = np.flatnonzero(known[spans] - known[: len(spans)] >= length - group["limit"])
-            if not len(starts):
+            if len(words) + group["limit"] < length:
                 continue
+            # Every window that holds a seed; a text a few words short of the item is one window.
+            reach = np.array(places)[:, None] - np.arange(length - SEED_WORDS + 1)
+            starts = np.unique(np.clip(reach, 0, max(0, len(words) - length)))
             inside = symbols[np.minimum(starts[:, None] + np.arange(length), len(words) - 1)]
             starts = starts[group["member"][inside].sum(1) >= length - group["limit"]]
             if not len(starts):
                 continue
-            if codes is None:
-                codes = self.codes[symbols]
             pairs = set()
             if walks is None:
                 pairs = {(int(s), i) for s in starts for i in range(len(group["items"]))}
             else:
-                for repeat, table in enumerate(group["tables"]):
-                    keys = walks.keys(codes, starts, repeat)
-                    for place in np.flatnonzero(np.isin(keys, group["seen"][repeat])):
+                for keys, table, seen in zip(walks.keys(codes, starts), group["tables"], group["seen"]):
+                    for place in np.flatnonzero(np.isin(keys, seen)):
                         pairs.update((int(starts[place]), i) for i in table[int(keys[place])])
+            # Moving on by one word changes the distance by two at most: that rules out some starts.
+            reach: dict[int, int] = {}
             for start, i in sorted(pairs):
                 number, masks = group["items"][i]
+                if start < reach.get(i, 0) or best.get(number, (1,))[0] == 0:
+                    continue
                 edits = edit_distance(masks, length, symbols[start : start + length].tolist())
-                if edits <= group["limit"] and (number not in best or (edits, start) < best[number]):
+                wanted = min(group["limit"], best.get(number, (length,))[0])
+                reach[i] = start + max(0, edits - wanted) // 2
+                if edits <= group["limit"] and (number not in best or edits < best[number][0]):
                     best[number] = (edits, start)
         return [{"item": n, "edits": e, "start": s} for n, (e, s) in sorted(best.items())]
 
@@ -164,12 +197,9 @@ def repeats_needed(items: list[list[int]], codes: np.ndarray, share: float, reca
             copies.append((copy + [0] * len(item))[: len(item)])
         lines = codes[np.array([item, *copies])].ravel()
         starts = np.arange(9) * len(item)
-        first = np.full(8, MAX_REPEATS)
-        for repeat in range(MAX_REPEATS):
-            keys = walks.keys(lines, starts, repeat)
-            first = np.where((keys[1:] == keys[0]) & (first == MAX_REPEATS), repeat, first)
-            if (first < MAX_REPEATS).all():
-                break
+        keys = walks.keys(lines, starts)
+        met = keys[:, 1:] == keys[:, :1]
+        first = np.where(met.any(0), met.argmax(0), MAX_REPEATS)
         failing.extend(first.tolist())
         total += 8
     if not total:
@@ -188,13 +218,18 @@ def build_index(items: list[tuple], share: float = EDITS_SHARE, recall: float =
     lengths: dict[int, list] = {}
     for number, symbols in coded:
         lengths.setdefault(len(symbols), []).append((number, symbols))
-    groups = []
+    groups, seeds, seeded = [], {}, np.zeros(1 << SEED_BITS, bool)
     for length, own in sorted(lengths.items()):
         limit = edit_limit(length, share)
         walks = None if repeats is None else Walks(length, 1 if limit == 0 else repeats, SAMPLED_STEPS, seed)
         member = np.zeros(len(vocabulary) + 1, bool)
         group_items, lines = [], []
+        cuts = np.arange(limit + 1) * length // (limit + 1)
         for number, symbols in own:
+            triples = seed_codes(codes[symbols])[cuts]
+            seeded[triples >> np.uint64(64 - SEED_BITS)] = True
+            for seed_code in triples.tolist():
+                seeds.setdefault(seed_code, set()).add(len(groups))
             masks: dict[int, int] = {}
             for place, symbol in enumerate(symbols):
                 masks[symbol] = masks.get(symbol, 0) | 1 << place
@@ -202,8 +237,7 @@ def build_index(items: list[tuple], share: float = EDITS_SHARE, recall: float =
             group_items.append((number, masks))
             lines.extend(symbols)
         tables, seen = [], []
-        for repeat in range(walks.repeats if walks else 0):
-            keys = walks.keys(codes[lines], np.arange(len(own)) * length, repeat)
+        for keys in walks.keys(codes[lines], np.arange(len(own)) * length) if walks else ():
             table: dict[int, list[int]] = {}
             for i, key in enumerate(keys.tolist()):
                 table.setdefault(key, []).append(i)
@@ -211,7 +245,7 @@ def build_index(items: list[tuple], share: float = EDITS_SHARE, recall: float =
             seen.append(np.unique(keys))
         groups.append({"length": length, "limit": limit, "walks": walks, "member": member,
                        "items": group_items, "tables": tables, "seen": seen})
-    return Index(vocabulary, codes, groups)
+    return Index(vocabulary, codes, groups, seeds, seeded)
 
 
 def indexes(benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, **rule) -> list[tuple[Index, list]]:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from platewatch.llm import decontaminate, mixing, quality, sharding, simhash
+from platewatch.llm import chat, decontaminate, mixing, nearest, quality, sharding, simhash
 from platewatch.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op7_quality(spark, folder):
     return quality.with_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_nearest(spark, folder):
+    return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_sharding(spark, folder):
     rows = sharding.sharded(table(spark, folder, "documents"))
     return rows.select(
@@ -36,5 +40,12 @@ def op9_sharding(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_simhash, op4_mixing, op7_quality, op9_sharding)}
+def op10_chat(spark, folder):
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.formatted(rows.unionByName(added)))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_simhash, op4_mixing, op7_quality, op8_nearest, op9_sharding, op10_chat)}
 ORACLE = {"op4_mixing": mixing.ORACLE}
