@@ -2,14 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from platewatch.llm import chat, decontaminate, mixing, nearest, quality, sharding, simhash
+from platewatch.llm import chat, decontaminate, extraction, mixing, nearest, pseudonyms, quality, sharding, simhash, token_shards
 from platewatch.llm.common import table
 
+# Where the public tokenizer files lie on the driver.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def op1_decontaminate(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_extraction(spark, folder):
+    return extraction.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op3_simhash(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -19,6 +26,16 @@ def op4_mixing(spark, folder):
     return mixing.mixed(table(spark, folder, "documents"), columns=["doc_id", "source"])
 
 
+def op5_token_shards(spark, folder):
+    rows = token_shards.token_shards(table(spark, folder, "documents"), VOCABULARY)
+    return rows.drop("ids")
+
+
+def op6_pseudonyms(spark, folder):
+    rows = pseudonyms.with_pseudonyms(table(spark, folder, "documents"))
+    return rows.select("doc_id", "text", F.size("spans").alias("n_replaced"), "spans")
+
+
 def op7_quality(spark, folder):
     return quality.with_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -47,5 +64,5 @@ def op10_chat(spark, folder):
     return chat.digests(chat.formatted(rows.unionByName(added)))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_simhash, op4_mixing, op7_quality, op8_nearest, op9_sharding, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_extraction, op3_simhash, op4_mixing, op5_token_shards, op6_pseudonyms, op7_quality, op8_nearest, op9_sharding, op10_chat)}
 ORACLE = {"op4_mixing": mixing.ORACLE}
