@@ -23,7 +23,8 @@ _PATTERN = re.compile(
     (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,})
   | (?P<secret>(?:token|secret|password|passwd|api[_-]?key)["']?\s*[=:]\s*["']?[0-9a-f]{16,}(?![0-9A-Za-z]))
   | (?P<iban>(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]){11,30}(?![0-9A-Za-z]))
-  | (?P<phone>(?<![\w+])\+\d{1,3}[\x20.-]?(?:\(\d{2,4}\)|\d{2,4})(?:[\x20.-]?\d{2,4}){2,3}(?!\d)
+  | (?P<phone>(?<![\w+])\+1[\x20.-]?(?:\(\d{3}\)|\d{3})[\x20.-]?\d{3}[\x20.-]?\d{4}(?!\d)
+      | (?<![\w+])\+(?!1[\x20.(-])\d{2,3}[\x20.-]?(?:\(\d{1,4}\)|\d{1,4})(?:[\x20.-]?\d{2,4}){2,3}(?!\d|\.\d)
       | (?<![\w(])\(\d{3}\)[\x20.-]?\d{3}[\x20.-]\d{4}(?!\d))
   | (?P<date>(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w-]|\.\d))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
