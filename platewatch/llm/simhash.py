@@ -81,8 +81,9 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         .select("e.seg", F.explode("e.keys").alias("key"), "fp_a")
     )
     distance = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b")))
+    # The planner takes no account of how long the exploded lists are: without the hint it may broadcast them.
     return (
-        probes.join(entries, ["seg", "key"])
+        probes.hint("merge").join(entries, ["seg", "key"])
         .where((F.col("fp_a") != F.col("fp_b")) & (distance <= max_bits))
         .select(F.least("fp_a", "fp_b").alias("fp_a"), F.greatest("fp_a", "fp_b").alias("fp_b"), distance.alias("distance"))
         .distinct()
