@@ -19,7 +19,7 @@ DIMENSIONS = 8
 GRAMS = (3, 4, 5)
 EPOCHS = 12
 RATE = 0.5
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 1000
 CHUNK_BYTES = 1 << 20
 SEED = 17
 
@@ -106,13 +106,19 @@ def train(texts: list, labels: list, epochs: int = EPOCHS, rate: float = RATE) -
     size, random = 1 << BUCKET_BITS, np.random.default_rng(SEED)
     vectors = random.uniform(-1, 1, (size, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     layer, bias = np.zeros((2, DIMENSIONS), np.float32), np.zeros(2)
-    rows = []
+    # Few large arrays rather than many small ones: the driver gives their memory back.
+    seen_parts, share_parts, ends, order = [], [], [0], []
     for at, ids, owner in chunks(texts):
-        cuts = np.argsort(owner, kind="stable")
-        split = np.split(ids[cuts], np.cumsum(np.bincount(owner, minlength=len(at)))[:-1])
-        for i, own in zip(at, split):
-            seen, counts = np.unique(own, return_counts=True)
-            rows.append((seen, (counts / max(1, len(own))).astype(np.float32), int(labels[i])))
+        pairs, counts = np.unique(owner.astype(np.int64) << BUCKET_BITS | ids, return_counts=True)
+        own, total = pairs >> BUCKET_BITS, np.bincount(owner, minlength=len(at))
+        seen_parts.append((pairs & (size - 1)).astype(np.int32))
+        share_parts.append((counts / total[own]).astype(np.float32))
+        ends.extend((ends[-1] + np.cumsum(np.bincount(own, minlength=len(at)))).tolist())
+        order.extend(at)
+    all_seen = np.concatenate(seen_parts) if seen_parts else np.zeros(0, np.int32)
+    all_shares = np.concatenate(share_parts) if share_parts else np.zeros(0, np.float32)
+    del seen_parts, share_parts
+    rows = [(all_seen[a:b], all_shares[a:b], int(labels[i])) for a, b, i in zip(ends, ends[1:], order)]
     steps, step = max(1, epochs * len(rows)), 0
     for _ in range(epochs):
         for i in random.permutation(len(rows)):
