@@ -221,16 +221,17 @@ def _too_fast(max_kmh, flag_simultaneous):
 
 def _all_copies(spot_pairs, rows):
     """Put every sighting of the two spots back in place of the spot."""
-    place = [c for c in _SPOT if c != "plate"]
     for side in "ab":
-        copies = rows.select(
-            "plate",
-            *[F.col(c).alias(f"{c}_{side}") for c in place],
-            F.col("id").alias("copy_id"),
-        )
+        copies = rows.select(*[F.col(c).alias(f"copy_{c}") for c in _SPOT], F.col("id").alias("copy_id"))
+        same = F.col("plate") == F.col("copy_plate")
+        for c in _SPOT:
+            if c != "plate":
+                # A missing site is a place like any other: its copies are found as well.
+                same = same & F.col(f"{c}_{side}").eqNullSafe(F.col(f"copy_{c}"))
         spot_pairs = (
             spot_pairs.drop(f"id_{side}")
-            .join(copies, ["plate", *[f"{c}_{side}" for c in place]])
+            .join(copies, same)
+            .drop(*[f"copy_{c}" for c in _SPOT])
             .withColumnRenamed("copy_id", f"id_{side}")
         )
     # The same second has no earlier side: keep the smaller id first, as elsewhere.

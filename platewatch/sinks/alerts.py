@@ -12,12 +12,19 @@ from platewatch.sources.jdbc import Database, read_table
 
 @dataclass(frozen=True)
 class ParquetAlerts:
-    """A Parquet table with one folder per micro-batch, replaced when the batch is repeated."""
+    """A Parquet table with one folder per stream and micro-batch, replaced when the batch is repeated.
+
+    A stream is known by the identity that its checkpoint keeps, so several streams, or a
+    stream begun anew, can share a table.  ``stream`` names it for batches written by hand.
+    """
 
     path: str
+    stream: str | None = None
 
     def append(self, alerts: DataFrame, batch_id: int) -> None:
-        alerts.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        running = alerts.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stream = self.stream or running or "by-hand"
+        alerts.write.mode("overwrite").parquet(f"{self.path}/stream={stream}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
@@ -37,7 +44,8 @@ class JdbcAlerts:
     table: str = ALERT_TABLE
 
     def append(self, alerts: DataFrame, batch_id: int) -> None:
-        prefix = f"{self.stream}-{batch_id}-"
+        # The length keeps names that end in digits apart from others.
+        prefix = f"{len(self.stream)}-{self.stream}-{batch_id}-"
         rows = alert_rows(alerts, F.concat(F.lit(prefix), alert_key(alerts)))
         written = read_table(alerts.sparkSession, self.database, self.table)
         written = written.where(F.col("id").startswith(prefix)).select("id")

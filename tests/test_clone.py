@@ -145,3 +145,11 @@ def test_plans_join_on_keys_without_python(spark):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "Python" not in plan
     assert "SortMergeJoin" in plan_of(clone_plate_pairs(rows))
+
+
+@pytest.mark.parametrize("heavy", [{}, {"T": 2}, clone.EVERY_PLATE])
+def test_missing_sites_are_places_like_others(spark, heavy):
+    rows = sightings(
+        spark, [("T", "10:00:00", None, 113.0, 0.0), ("T", "10:00:00", None, 113.0, 0.0), ("T", "10:30:00", "k2", 114.0, 0.0)]
+    )
+    assert sorted((r.id_a, r.id_b) for r in clone_plate_pairs(rows, heavy=heavy).collect()) == [(1, 3), (2, 3)]

@@ -167,3 +167,21 @@ def test_published_files_are_read_back(spark, tmp_path):
     frame = sightings(spark, [("A", "10:00:00", "k1", 1.0, 1.0)])
     publish_to_files(frame, str(tmp_path / "topic"))
     assert [r.plate for r in decode_messages(spark.read.text(str(tmp_path / "topic"))).sightings.collect()] == ["A"]
+
+
+def test_streams_share_a_table(spark, tmp_path):
+    target = ParquetAlerts(str(tmp_path / "out"))
+    (tmp_path / "in").mkdir()
+    spark.range(3).write.mode("overwrite").parquet(str(tmp_path / "in"))
+    for checkpoint in ("a", "b", "a"):
+        stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+        query = (
+            stream.writeStream.foreachBatch(target.append)
+            .option("checkpointLocation", str(tmp_path / checkpoint))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination(60)
+    rows = target.read(spark).collect()
+    assert sorted(r["id"] for r in rows) == [0, 0, 1, 1, 2, 2]
+    assert len({r["stream"] for r in rows}) == 2
