@@ -1,25 +1,10 @@
 """Relations the engine works on.
 
-A *sighting* says that a plate passed a site at a moment.  Inside the engine it
-always has the columns of ``SIGHTING``; the field names used on the wire (CSV
-headers, message keys, relational tables) are kept in the maps below.
+A *sighting* says that a plate passed a site at a moment.  Inside the engine it has the
+columns id, plate, brand, colour, pass_time, site_id, lon and lat; the field names used
+on the wire (CSV headers, message keys) are kept in the maps below.
 """
 
-from pyspark.sql import types as T
-
-SIGHTING = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("plate", T.StringType()),
-        T.StructField("brand", T.StringType()),
-        T.StructField("colour", T.StringType()),
-        T.StructField("pass_time", T.TimestampNTZType()),
-        T.StructField("site_id", T.StringType()),
-        T.StructField("lon", T.DoubleType()),
-        T.StructField("lat", T.DoubleType()),
-    ]
-)
-
 # The field names of the exchanged files, messages and tables.
 CSV_FIELDS = {
     "id": "ID",
@@ -37,18 +22,8 @@ MESSAGE_FIELDS = {
     "pass_time": "TGSJ",
     "site_id": "KKBH",
 }
-TABLE_FIELDS = {
-    "id": "id",
-    "plate": "hphm",
-    "brand": "clpp",
-    "colour": "clys",
-    "pass_time": "tgsj",
-    "site_id": "kkbh",
-}
 CLONE_TABLE = "t_tpc_result"
-COTRAVEL_TABLE = "t_txc_result"
 ALERT_TABLE = "t_bk_tpc"
-OFFSET_TABLE = "offset"
 TOPIC = "traffic_topic"
 
 # One message is a JSON array of flat string maps.

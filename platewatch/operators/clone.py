@@ -164,7 +164,8 @@ def _measure(rows, max_kmh, max_gap_s, heavy):
 
 
 def _timed(rows, clock12):
-    return rows.select(
+    """What speeds are made of; a sighting without time or position has none."""
+    return rows.dropna(subset=["pass_time", "lon", "lat"]).select(
         "plate",
         "id",
         "site_id",

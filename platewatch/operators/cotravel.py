@@ -16,10 +16,11 @@ from platewatch.functions.clock import epoch_seconds
 from platewatch.model import SEQUENCE_LENGTH, TOLERANCE_S
 from platewatch.operators.scan import sightings_since
 from platewatch.operators.sequences import site_sequences
-from platewatch.operators.skew import PIECE_ROWS, heavy_keys, is_heavy
+from platewatch.operators.skew import PIECE_ROWS, heavy_keys, is_heavy, ranked
 from platewatch.session import written
 
 GROUP_PLATES = 10_000
+LOOKUP_POSITIONS = 3
 # Numbers first: sorting settles most comparisons on them.
 _CELL = ["sec", "pos", "gram"]
 _GROUP = ["stretch", "pos", "gram"]
@@ -51,21 +52,28 @@ def cotravel_members(
     return _sites(members.select("gram", "plate").distinct())
 
 
-def cotravel_groups(members: DataFrame, group_plates: int = GROUP_PLATES) -> DataFrame:
+def cotravel_groups(
+    members: DataFrame, group_plates: int = GROUP_PLATES, piece_rows: int = PIECE_ROWS
+) -> DataFrame:
     """The plates of each sequence as sorted arrays: ``gram``, ``part``, ``plates``.
 
-    A sequence with more than ``group_plates`` plates takes several rows of about that
-    size, told apart by ``part``; plates go to parts by their hash.
+    A sequence with more than ``group_plates`` plates goes on in further rows: ``part`` counts
+    them from 0 in the order of the plates, and all but the last are full.
     """
-    sizes = members.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > group_plates)
-    large = sizes.select("gram", F.ceil(F.col("n") / group_plates).alias("parts"))
-    part = F.coalesce(F.pmod(F.xxhash64("plate"), F.col("parts")), F.lit(0))
-    return (
-        members.join(large, "gram", "left")
-        .select("gram", part.cast("int").alias("part"), "plate")
-        .groupBy("gram", "part")
-        .agg(F.array_sort(F.collect_list("plate")).alias("plates"))
-    )
+    members = written(members.select("gram", "plate"))
+    sizes = members.groupBy("gram").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > group_plates).select("gram", "n")
+    total = large.agg(F.sum("n")).first()[0]
+    if not total:
+        return _grouped(members.withColumn("part", F.lit(0)))
+    small = members.join(large, "gram", "left_anti").withColumn("part", F.lit(0))
+    numbered = ranked(members.join(large, "gram", "left_semi"), ["gram"], ["plate"], total, piece_rows)
+    part = F.floor(F.col("_rank") / group_plates).cast("int")
+    return _grouped(small).unionByName(_grouped(numbered.withColumn("part", part)))
+
+
+def _grouped(members):
+    return members.groupBy("gram", "part").agg(F.array_sort(F.collect_list("plate")).alias("plates"))
 
 
 def cotravel_pairs(
@@ -264,8 +272,9 @@ def _accompanied_throughout(runs, crowded, n, tolerance_s, allow_self):
 
     Runs without company at the first position are out; what is left is written down, as
     it is used three times.  It falls into boxes one tolerance wide in every position.
-    All runs of a box are near each other, so a box with two plates settles them all; only
-    the others look into the boxes around.
+    All runs of a box are near each other, so a box with two plates settles them all.  Only
+    the others look for partners, in boxes so wide that a run reaches two at most in each of the
+    first positions: at most eight rows a run, whatever the length of the sequence.
     """
     first = runs.select("gram", "plate", "first_id", "seconds", F.lit(0).alias("pos")).withColumn(
         "sec", F.col("seconds")[0]
@@ -285,10 +294,16 @@ def _accompanied_throughout(runs, crowded, n, tolerance_s, allow_self):
     settled = rows.where("crowd").select("gram", "plate")
 
     lone = rows.where(~F.col("crowd")).drop("crowd")
-    for name in names:
-        lone = lone.withColumn(name, F.explode(F.array(*[F.col(name) + d for d in (-1, 0, 1)])))
+    wide = 2 * tolerance_s + 1
+    names = names[:LOOKUP_POSITIONS]
+    for i, name in enumerate(names):
+        reach = [F.floor((F.col("seconds")[i] + d) / wide) for d in (-tolerance_s, tolerance_s)]
+        lone = lone.withColumn(name, F.explode(F.array_distinct(F.array(*reach))))
     others = rows.select(
-        "gram", *names, F.col("who").alias("other"), F.col("seconds").alias("other_seconds")
+        "gram",
+        *[F.floor(F.col("seconds")[i] / wide).alias(name) for i, name in enumerate(names)],
+        F.col("who").alias("other"),
+        F.col("seconds").alias("other_seconds"),
     )
     near = F.col("other") != F.col("who")
     for i in range(n):

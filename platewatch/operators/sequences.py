@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from platewatch.functions.clock import epoch_seconds
 from platewatch.model import SEQUENCE_LENGTH
 from platewatch.operators.scan import sightings_since
-from platewatch.operators.skew import PIECE_ROWS, heavy_keys, in_pieces, split_rows
+from platewatch.operators.skew import PIECE_ROWS, heavy_keys, in_pieces, ranked, split_rows
 
 ORDER = ["pass_time", "id"]
 TRAIL_ROWS = 10_000
@@ -104,28 +104,24 @@ def plate_trail(
     """Each plate's sightings in order, as arrays: ``plate``, ``part``, ``n``, ``trail``.
 
     A trail longer than ``trail_rows`` continues in further rows, so that no array grows
-    without bound; ``part`` rises with time within a plate (with gaps for heavy plates).
+    without bound.  ``part`` counts them from 0; all but a plate's last are full.
     """
     rows = sightings_since(sightings, since).where(F.col("plate").isNotNull())
     rows = rows.select("plate", "pass_time", "id", "site_id")
     if heavy is None:
         heavy = heavy_keys(rows, "plate")
+    place = F.row_number().over(Window.partitionBy("plate").orderBy(*ORDER)) - 1
     if not heavy:
-        return _parts(rows.withColumn("_piece", F.lit(0).cast("long")), ["plate"], trail_rows)
+        return _parts(rows.withColumn("_rank", place), trail_rows)
     light, hot = split_rows(rows, "plate", heavy)
-    light = light.withColumn("_piece", F.lit(0).cast("long"))
-    hot = in_pieces(hot, heavy, ["plate", *ORDER], piece_rows)
-    return _parts(light, ["plate"], trail_rows).unionByName(
-        _parts(hot, ["plate", "_piece"], trail_rows)
-    )
+    numbered = ranked(hot, ["plate"], ORDER, sum(heavy.values()), piece_rows)
+    return _parts(light.withColumn("_rank", place), trail_rows).unionByName(_parts(numbered, trail_rows))
 
 
-def _parts(rows, keys, trail_rows):
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*ORDER)) - 1
-    part = F.shiftleft("_piece", 32) + F.floor(place / trail_rows)
+def _parts(rows, trail_rows):
     stop = F.struct("pass_time", "id", "site_id")
     return (
-        rows.withColumn("part", part)
+        rows.withColumn("part", F.floor(F.col("_rank") / trail_rows))
         .groupBy("plate", "part")
         .agg(F.count("*").alias("n"), F.array_sort(F.collect_list(stop)).alias("trail"))
     )

@@ -3,9 +3,12 @@
 from platewatch.plans.queries import (
     CUTOFF,
     FAST_KMH,
+    GROUP_PLATES,
     KNOWN_UNTIL,
     RUN_ID,
     RUN_TIME,
+    TRAIL_ROWS,
+    WIDER_S,
     WIDE_S,
 )
 from platewatch.sources.events import SITES
@@ -29,6 +32,8 @@ s AS (
 )
 """
 
+_TIME = "strftime(pass_time, '%Y-%m-%d %H:%M:%S')"
+
 _KM = """CAST(round(CAST(6370693.5 AS DOUBLE) * acos(greatest(CAST(-1 AS DOUBLE), least(CAST(1 AS DOUBLE),
     sin(a.lat * CAST(0.01745329252 AS DOUBLE)) * sin(b.lat * CAST(0.01745329252 AS DOUBLE))
     + cos(a.lat * CAST(0.01745329252 AS DOUBLE)) * cos(b.lat * CAST(0.01745329252 AS DOUBLE))
@@ -91,22 +96,45 @@ def _sequence_text(n):
     return f"{_sequences(n)} SELECT plate, first_id, {gram} AS gram, {seconds} AS seconds FROM g"
 
 
-def _met(tolerance, match="any", allow_self=False):
+def _met(tolerance, match="any", allow_self=False, n=3):
     """Pairs of runs on the same sequence that were close enough in time."""
-    near = [f"abs(a.s{k} - b.s{k}) <= {tolerance}" for k in range(3)]
+    near = [f"abs(a.s{k} - b.s{k}) <= {tolerance}" for k in range(n)]
     near = (" OR " if match == "any" else " AND ").join(near)
     other = "a.first_id <> b.first_id" if allow_self else "a.plate <> b.plate"
-    return f"""{_sequences(3)},
+    gram = " || ',' || ".join(f"a.k{k}" for k in range(n))
+    same = " AND ".join(f"a.k{k} = b.k{k}" for k in range(n))
+    return f"""{_sequences(n)},
     met AS (
-        SELECT a.k0 || ',' || a.k1 || ',' || a.k2 AS gram, a.plate AS plate_a, b.plate AS plate_b
-        FROM g a JOIN g b ON a.k0 = b.k0 AND a.k1 = b.k1 AND a.k2 = b.k2 AND {other}
+        SELECT {gram} AS gram, a.plate AS plate_a, b.plate AS plate_b
+        FROM g a JOIN g b ON {same} AND {other}
         WHERE {near}
     ),
     m AS (SELECT DISTINCT gram, plate_a AS plate FROM met)"""
 
 
-_GROUPS = """SELECT gram, CAST(0 AS INTEGER) AS part, string_agg(plate, ',' ORDER BY plate) AS plates
-    FROM m GROUP BY gram"""
+def _groups(size=10_000):
+    return f"""SELECT gram, part, string_agg(plate, ',' ORDER BY plate) AS plates
+    FROM (SELECT gram, plate,
+                 CAST((row_number() OVER (PARTITION BY gram ORDER BY plate) - 1) // {size} AS INTEGER) AS part
+          FROM m)
+    GROUP BY gram, part"""
+
+
+def _trail(size):
+    return f"""{_SIGHTINGS}
+        SELECT plate, part, count(*) AS n,
+               string_agg(site_id || '@' || {_TIME}, ';' ORDER BY pass_time, id) AS trail
+        FROM (SELECT *, CAST((row_number() OVER (PARTITION BY plate ORDER BY pass_time, id) - 1) // {size} AS BIGINT) AS part
+              FROM s)
+        GROUP BY plate, part"""
+
+
+def _spoilt(sql):
+    """The same over CSV in which the times of one site cannot be read; ids are text there."""
+    readable = "FROM events LEFT JOIN sites ON event_type = site WHERE event_type <> 'signup'"
+    sql = sql.replace("FROM events LEFT JOIN sites ON event_type = site", readable)
+    return sql.replace("SELECT event_id AS id", "SELECT CAST(event_id AS VARCHAR) AS id")
+
 
 _FIELDS = "id, plate, brand, colour, pass_time, site_id"
 _KNOWN = f"SELECT plate FROM s WHERE pass_time < TIMESTAMP '{KNOWN_UNTIL}'"
@@ -122,17 +150,26 @@ _REPEATED = f"""{_SIGHTINGS}
     FROM s JOIN s h ON s.plate = h.plate AND h.pass_time < TIMESTAMP '{KNOWN_UNTIL}'"""
 _ALERTS = f"{_FAST} SELECT {_FIELDS} FROM s WHERE plate IN (SELECT plate FROM p)"
 _POSITION = "CAST(lon AS VARCHAR) || '_' || CAST(lat AS VARCHAR)"
-_TIME = "strftime(pass_time, '%Y-%m-%d %H:%M:%S')"
 
 _SINCE = f"{_SIGHTINGS} SELECT {_FIELDS} FROM s WHERE pass_time > TIMESTAMP '{CUTOFF}'"
 
+_CSV = f"""{_SIGHTINGS}
+    SELECT CAST(id AS VARCHAR) AS id, plate, brand, colour, pass_time, site_id, lon, lat FROM s"""
+
 ORACLE = {
     "sightings_since": _SINCE,
     "sightings_since_sql": _SINCE,
-    "plate_trail": f"""{_SIGHTINGS}
-        SELECT plate, CAST(0 AS BIGINT) AS part, count(*) AS n,
-               string_agg(site_id || '@' || {_TIME}, ';' ORDER BY pass_time, id) AS trail
-        FROM s GROUP BY plate""",
+    "plate_trail": _trail(10_000),
+    "plate_trail_parts": _trail(TRAIL_ROWS),
+    "plate_trail_parts_heavy": _trail(TRAIL_ROWS),
+    "site_sequences_heavy": _sequence_text(3),
+    "clone_plate_pairs_heavy": f"{_pairs()} SELECT * FROM p",
+    "clone_watchlist_heavy": f"{_FAST} SELECT DISTINCT plate FROM p",
+    "cotravel_members_heavy": f"{_met(180)} SELECT gram, plate FROM m",
+    "cotravel_groups_parts": f"{_met(180)} {_groups(GROUP_PLATES)}",
+    "cotravel_all_of_five": f"{_met(WIDER_S, 'all', n=5)} {_groups()}",
+    "first_entry_without_positions": _spoilt(_FIRST_ENTRY),
+    "cotravel_without_positions": _spoilt(f"{_met(180)} SELECT gram, plate FROM m"),
     "site_sequences": _sequence_text(3),
     "site_sequences_of_five": _sequence_text(5),
     "clone_plate_pairs": f"{_pairs()} SELECT * FROM p",
@@ -153,9 +190,9 @@ ORACLE = {
         FROM d JOIN s ON d.id = s.id""",
     "clone_watchlist": f"{_FAST} SELECT DISTINCT plate FROM p",
     "cotravel_members": f"{_met(180)} SELECT gram, plate FROM m",
-    "cotravel_groups": f"{_met(180)} {_GROUPS}",
-    "cotravel_groups_self": f"{_met(180, allow_self=True)} {_GROUPS}",
-    "cotravel_all": f"{_met(WIDE_S, 'all')} {_GROUPS}",
+    "cotravel_groups": f"{_met(180)} {_groups()}",
+    "cotravel_groups_self": f"{_met(180, allow_self=True)} {_groups()}",
+    "cotravel_all": f"{_met(WIDE_S, 'all')} {_groups()}",
     "cotravel_pairs": f"{_met(180)} SELECT DISTINCT gram, plate_a, plate_b FROM met WHERE plate_a < plate_b",
     "cotravel_result": f"""{_met(180)}
         SELECT md5('{RUN_ID}|["' || replace(gram, ',', '","') || '"]|0') AS "ID", '{RUN_ID}' AS "JSBH",
@@ -175,8 +212,9 @@ ORACLE = {
     "decode_messages": f"{_SIGHTINGS} SELECT {_FIELDS[4:]} FROM s",
     "publish_sightings": """SELECT CAST(count(*) AS BIGINT) AS sightings, true AS within_limit FROM events""",
     "dead_letters": """SELECT event_id, '{[{"KKBH":"error"}]' AS value FROM events WHERE event_type = 'error'""",
-    "csv_sightings": f"""{_SIGHTINGS}
-        SELECT CAST(id AS VARCHAR) AS id, plate, brand, colour, pass_time, site_id, lon, lat FROM s""",
+    "csv_sightings": _CSV,
+    "csv_mixed_headers": _CSV,
+    "table_sightings": _CSV,
     "csv_rejected": f"""{_SIGHTINGS}
         SELECT CAST(id AS VARCHAR) AS id, plate, brand, colour,
                CASE WHEN site_id = 'signup' THEN 'bad' ELSE {_TIME} END AS time_text, site_id,

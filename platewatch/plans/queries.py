@@ -8,12 +8,13 @@ from platewatch.functions.clock import format_time
 from platewatch.model import CSV_FIELDS
 from platewatch.operators import clone, cotravel, membership, sequences
 from platewatch.operators.scan import sightings_since as since_cutoff
+from platewatch.operators.skew import EveryKey
 from platewatch.plans import analyses
 from platewatch.session import new_folder
 from platewatch.sinks.alerts import ParquetAlerts
 from platewatch.sinks.messages import encode_messages, publish_to_files
 from platewatch.sources.events import events_as_sightings, read_events
-from platewatch.sources.files import read_sightings
+from platewatch.sources.files import COTRAVEL_NEEDS, HISTORY_NEEDS, read_sighting_table, read_sightings
 from platewatch.sources.kafka import read_message_files
 from platewatch.sources.messages import decode_messages as decode
 from platewatch.streaming import alerts
@@ -24,7 +25,11 @@ RUN_ID = 7
 RUN_TIME = datetime(2024, 2, 1)
 FAST_KMH = 10_000
 WIDE_S = 7_200
+WIDER_S = 172_800
 MESSAGE_ROWS = 200
+TRAIL_ROWS = 7
+GROUP_PLATES = 3
+PIECE_ROWS = 2_000
 ALERT_FIELDS = ["id", "plate", "brand", "colour", "pass_time", "site_id"]
 
 
@@ -41,9 +46,26 @@ def sightings_since_sql(spark, folder):
     )
 
 
+def _every(sightings):
+    """Sends every key the way of heavy ones, which has to give the same rows."""
+    return {"heavy": EveryKey(sightings.count()), "piece_rows": PIECE_ROWS}
+
+
 def plate_trail(spark, folder):
+    return _trail_text(sequences.plate_trail(read_events(spark, folder)))
+
+
+def plate_trail_parts(spark, folder):
+    return _trail_text(sequences.plate_trail(read_events(spark, folder), trail_rows=TRAIL_ROWS))
+
+
+def plate_trail_parts_heavy(spark, folder):
+    rows = read_events(spark, folder)
+    return _trail_text(sequences.plate_trail(rows, trail_rows=TRAIL_ROWS, **_every(rows)))
+
+
+def _trail_text(trails):
     stops = F.transform("trail", lambda s: F.concat_ws("@", s["site_id"], format_time(s["pass_time"])))
-    trails = sequences.plate_trail(read_events(spark, folder))
     return trails.select("plate", "part", "n", F.array_join(stops, ";").alias("trail"))
 
 
@@ -55,6 +77,11 @@ def site_sequences_of_five(spark, folder):
     return _sequence_text(sequences.site_sequences(read_events(spark, folder), n=5))
 
 
+def site_sequences_heavy(spark, folder):
+    rows = read_events(spark, folder)
+    return _sequence_text(sequences.site_sequences(rows, **_every(rows)))
+
+
 def _sequence_text(runs):
     return runs.select(
         "plate",
@@ -80,6 +107,10 @@ def clone_plate_pairs_simultaneous(spark, folder):
     return clone.clone_plate_pairs(read_events(spark, folder), flag_simultaneous=True)
 
 
+def clone_plate_pairs_heavy(spark, folder):
+    return clone.clone_plate_pairs(read_events(spark, folder), heavy=clone.EVERY_PLATE)
+
+
 def clone_plate_adjacent(spark, folder):
     return clone.clone_plate_adjacent(read_events(spark, folder))
 
@@ -102,10 +133,24 @@ def clone_watchlist(spark, folder):
     return clone.clone_watchlist(read_events(spark, folder), max_kmh=FAST_KMH)
 
 
+def clone_watchlist_heavy(spark, folder):
+    return clone.clone_watchlist(read_events(spark, folder), max_kmh=FAST_KMH, heavy=clone.EVERY_PLATE)
+
+
 def cotravel_members(spark, folder):
     return _gram_text(cotravel.cotravel_members(read_events(spark, folder)))
 
 
+def cotravel_members_heavy(spark, folder):
+    rows = read_events(spark, folder)
+    return _gram_text(cotravel.cotravel_members(rows, heavy_places={}, **_every(rows)))
+
+
+def cotravel_groups_parts(spark, folder):
+    members = cotravel.cotravel_members(read_events(spark, folder))
+    return _group_text(members, group_plates=GROUP_PLATES, piece_rows=PIECE_ROWS)
+
+
 def cotravel_groups(spark, folder):
     return _group_text(cotravel.cotravel_members(read_events(spark, folder)))
 
@@ -119,6 +164,11 @@ def cotravel_all(spark, folder):
     return _group_text(members)
 
 
+def cotravel_all_of_five(spark, folder):
+    rows = read_events(spark, folder)
+    return _group_text(cotravel.cotravel_members(rows, n=5, tolerance_s=WIDER_S, match="all"))
+
+
 def cotravel_pairs(spark, folder):
     return _gram_text(cotravel.cotravel_pairs(read_events(spark, folder)))
 
@@ -131,8 +181,8 @@ def _gram_text(rows):
     return rows.withColumn("gram", F.array_join("gram", ","))
 
 
-def _group_text(members):
-    groups = cotravel.cotravel_groups(members)
+def _group_text(members, **limits):
+    groups = cotravel.cotravel_groups(members, **limits)
     return _gram_text(groups).withColumn("plates", F.array_join("plates", ","))
 
 
@@ -266,9 +316,11 @@ def dead_letters(spark, folder):
     return decode(messages).dead_letters
 
 
-def _written_csv(spark, folder, spoilt):
+def _written_csv(spark, folder, spoilt, some=None, layout=tuple(CSV_FIELDS)):
     """The sightings as headered CSV; ``spoilt`` breaks the times and places of two sites."""
     rows = read_events(spark, folder)
+    if some is not None:
+        rows = rows.where(some)
     time = format_time(F.col("pass_time"))
     position = F.concat_ws("_", F.col("lon").cast("string"), F.col("lat").cast("string"))
     if spoilt:
@@ -277,7 +329,7 @@ def _written_csv(spark, folder, spoilt):
     columns = {name: F.col(name) for name in CSV_FIELDS if name not in ("pass_time", "position")}
     columns |= {"pass_time": time, "position": position}
     path = f"{new_folder(spark, 'csv')}/sightings"
-    named = [columns[name].cast("string").alias(header) for name, header in CSV_FIELDS.items()]
+    named = [columns[name].cast("string").alias(CSV_FIELDS[name]) for name in layout]
     rows.select(*named).write.option("header", True).csv(path)
     return path
 
@@ -290,27 +342,60 @@ def csv_rejected(spark, folder):
     return read_sightings(spark, _written_csv(spark, folder, spoilt=True)).rejected
 
 
+def csv_mixed_headers(spark, folder):
+    """Two layouts, the columns of the second in the opposite order."""
+    view, reverse = F.col("site_id") == "view", tuple(CSV_FIELDS)[::-1]
+    one = _written_csv(spark, folder, False, ~view)
+    return read_sightings(spark, one, _written_csv(spark, folder, False, view, reverse)).sightings
+
+
+def table_sightings(spark, folder):
+    """The same through a table of text columns."""
+    raw = spark.read.option("header", True).csv(_written_csv(spark, folder, spoilt=False))
+    raw.createOrReplaceTempView("sighting_texts")
+    return read_sighting_table(spark, "sighting_texts").sightings
+
+
+def first_entry_without_positions(spark, folder):
+    """A known plate stays known where its position cannot be read."""
+    rows = read_sightings(spark, _written_csv(spark, folder, spoilt=True), needs=HISTORY_NEEDS).sightings
+    return analyses.first_entries(rows, _history(rows)).select(*ALERT_FIELDS)
+
+
+def cotravel_without_positions(spark, folder):
+    rows = read_sightings(spark, _written_csv(spark, folder, spoilt=True), needs=COTRAVEL_NEEDS).sightings
+    return _gram_text(cotravel.cotravel_members(rows))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         sightings_since,
         sightings_since_sql,
         plate_trail,
+        plate_trail_parts,
+        plate_trail_parts_heavy,
         site_sequences,
         site_sequences_of_five,
+        site_sequences_heavy,
         clone_plate_pairs,
         clone_plate_pairs_since,
         clone_plate_pairs_clock12,
         clone_plate_pairs_simultaneous,
+        clone_plate_pairs_heavy,
         clone_plate_adjacent,
         leg_speeds,
         clone_plate_report,
         clone_report_adjacent,
         clone_watchlist,
+        clone_watchlist_heavy,
         cotravel_members,
+        cotravel_members_heavy,
         cotravel_groups,
         cotravel_groups_self,
+        cotravel_groups_parts,
         cotravel_all,
+        cotravel_all_of_five,
         cotravel_pairs,
         cotravel_result,
         first_entry,
@@ -328,5 +413,9 @@ QUERIES = {
         dead_letters,
         csv_sightings,
         csv_rejected,
+        csv_mixed_headers,
+        table_sightings,
+        first_entry_without_positions,
+        cotravel_without_positions,
     )
 }

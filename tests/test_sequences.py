@@ -3,7 +3,7 @@ import random
 import pytest
 
 from platewatch.operators.sequences import consecutive, plate_trail, site_sequences
-from platewatch.operators.skew import heavy_keys, in_pieces
+from platewatch.operators.skew import EveryKey, heavy_keys, in_pieces
 from tests.fixtures import hot_copies, plain, random_rows, runs, sightings
 
 
@@ -44,9 +44,19 @@ def test_trails_hold_every_sighting_in_order_in_bounded_rows(spark, heavy):
 def test_heavy_keys_are_few_and_measured(spark):
     rows = sightings(spark, random_rows(random.Random(2), 300, hot="p0"))
     assert heavy_keys(rows, "plate") == {}
-    heavy = heavy_keys(rows, "plate", min_rows=10, share=0.3)
-    assert set(heavy) == {"p0"}
-    assert heavy["p0"] == rows.where("plate = 'p0'").count()
+    sizes = {r["plate"]: r["count"] for r in rows.groupBy("plate").count().collect()}
+    limit = sizes["p0"] - 1
+    heavy = heavy_keys(rows, "plate", min_rows=limit)
+    assert heavy == {p: n for p, n in sizes.items() if n > limit} and "p0" in heavy
+    every = heavy_keys(rows, "plate", min_rows=1, most_keys=1)
+    assert isinstance(every, EveryKey) and every == {None: 300}
+
+
+def test_trails_are_cut_alike_for_ordinary_and_heavy_plates(spark):
+    rows = sightings(spark, hot_copies(random.Random(5), 200))
+    light = plain(plate_trail(rows, trail_rows=9, heavy={}))
+    for heavy in ({"p0": 100}, EveryKey(200)):
+        assert plain(plate_trail(rows, trail_rows=9, heavy=heavy, piece_rows=20)) == light
 
 
 def test_copies_of_one_moment_spread_over_pieces(spark):

@@ -4,7 +4,13 @@ import pytest
 
 from platewatch.sources import kafka
 from platewatch.sources.events import read_events
-from platewatch.sources.files import read_sighting_table, read_sightings, typed_sightings
+from platewatch.sources.files import (
+    COTRAVEL_NEEDS,
+    HISTORY_NEEDS,
+    read_sighting_table,
+    read_sightings,
+    typed_sightings,
+)
 from platewatch.sources.jdbc import Database, Slices, watchlist_of
 from platewatch.sources.messages import decode_messages
 from tests.fixtures import at, plain, plan_of
@@ -60,6 +66,32 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert bad.count() == 0
 
 
+def test_files_with_other_headers_are_never_mixed_up(spark, tmp_path):
+    write(tmp_path / "a.csv", [HEADER, "1,T,b,c,2024-01-01 10:00:00,k1,1.5_2.5"])
+    other = "HPHM,ID,CLYS,CLPP,TGSJ,KKBH,KK_LON_LAT"
+    write(tmp_path / "b.csv", [other, "U,2,d,e,2024-01-01 10:00:00,k1,1.5_2.5"])
+    with pytest.raises(Exception, match="header"):
+        read_sightings(spark, str(tmp_path)).sightings.collect()
+    apart = read_sightings(spark, str(tmp_path / "a.csv"), str(tmp_path / "b.csv"))
+    assert plain(apart.sightings.select("id", "plate", "brand", "colour")) == [("1", "T", "b", "c"), ("2", "U", "e", "d")]
+
+
+def test_rows_are_set_aside_only_for_what_is_needed(spark):
+    columns = "ID string, HPHM string, TGSJ string, KKBH string, KK_LON_LAT string"
+    time = "2024-01-01 10:00:00"
+    raw = spark.createDataFrame(
+        [("1", "A", time, "k1", "1_2"), ("2", "B", time, "k1", "1_99"), (None, "C", time, None, None), ("4", "D", "bad", "k1", "1_2")],
+        columns,
+    )
+    good, bad = typed_sightings(raw, HISTORY_NEEDS)
+    assert plain(good.select("plate", "lon", "lat")) == [("A", 1.0, 2.0), ("B", None, None), ("C", None, None)]
+    assert [(r.plate, r.reason) for r in bad.collect()] == [("D", "time")]
+    assert plain(typed_sightings(raw, COTRAVEL_NEEDS).sightings.select("plate")) == [("A",), ("B",)]
+    assert plain(typed_sightings(raw).sightings.select("plate")) == [("A",)]
+    with pytest.raises(ValueError):
+        typed_sightings(raw, ("colour",))
+
+
 def test_table_source(spark, tmp_path):
     path = write(tmp_path / "s.csv", [HEADER, "1,T,b,c,2024-01-01 10:00:00,k1,1_2"])
     spark.read.option("header", True).csv(path).createOrReplaceTempView("t_sightings")
