@@ -22,6 +22,17 @@ MESSAGE_FIELDS = {
     "pass_time": "TGSJ",
     "site_id": "KKBH",
 }
+# Columns of a sighting in the store.
+SIGHTING = {
+    "id": "string",
+    "plate": "string",
+    "brand": "string",
+    "colour": "string",
+    "pass_time": "timestamp_ntz",
+    "site_id": "string",
+    "lon": "double",
+    "lat": "double",
+}
 CLONE_TABLE = "t_tpc_result"
 ALERT_TABLE = "t_bk_tpc"
 TOPIC = "traffic_topic"

@@ -54,6 +54,9 @@ def _measured(source):
     )"""
 
 
+_CLOCK12 = """SELECT * REPLACE (CASE WHEN hour(pass_time) = 12 THEN sec - 43200 ELSE sec END AS sec) FROM s"""
+_SAME_HOUR = "SELECT * REPLACE (date_trunc('hour', pass_time) AS pass_time, sec - sec % 3600 AS sec) FROM s"
+
 _ALL_PAIRS = """t a JOIN t b
     ON a.plate = b.plate AND (a.sec < b.sec OR (a.sec = b.sec AND a.id < b.id))"""
 
@@ -68,6 +71,8 @@ _NEXT = """(
 ) a JOIN s b ON a.next_id = b.id"""
 _LEGS = f"{_SIGHTINGS}, p AS ({_measured(_NEXT)})"
 
+_LEGS12 = f"{_SIGHTINGS}, t AS ({_CLOCK12}), p AS ({_measured(_NEXT.replace('FROM s', 'FROM t').replace('JOIN s b', 'JOIN t b'))})"
+
 
 def _report(pairs):
     return f"""{pairs},
@@ -129,18 +134,25 @@ def _trail(size):
         GROUP BY plate, part"""
 
 
+def _texted(sql):
+    """The same where ids are text."""
+    return sql.replace("SELECT event_id AS id", "SELECT CAST(event_id AS VARCHAR) AS id")
+
+
 def _spoilt(sql):
     """The same over CSV in which the times of one site cannot be read; ids are text there."""
     readable = "FROM events LEFT JOIN sites ON event_type = site WHERE event_type <> 'signup'"
     sql = sql.replace("FROM events LEFT JOIN sites ON event_type = site", readable)
-    return sql.replace("SELECT event_id AS id", "SELECT CAST(event_id AS VARCHAR) AS id")
+    return _texted(sql)
 
 
+_CLONE_TABLE = f"""SELECT CAST(d.id AS VARCHAR) AS id, plate AS hphm, brand AS clpp, colour AS clys, {_TIME} AS tgsj,
+               site_id AS kkbh, CAST({RUN_ID} AS BIGINT) AS jsbh
+        FROM d JOIN s ON d.id = s.id"""
 _FIELDS = "id, plate, brand, colour, pass_time, site_id"
 _KNOWN = f"SELECT plate FROM s WHERE pass_time < TIMESTAMP '{KNOWN_UNTIL}'"
 _FAST = _pairs(where=f"speed_kmh > {FAST_KMH}")
 _COUNTS = f"SELECT plate, count(*) AS times_seen FROM ({_KNOWN}) GROUP BY plate"
-_CLOCK12 = """SELECT * REPLACE (CASE WHEN hour(pass_time) = 12 THEN sec - 43200 ELSE sec END AS sec) FROM s"""
 
 _FIRST_ENTRY = f"{_SIGHTINGS} SELECT {_FIELDS} FROM s WHERE plate NOT IN ({_KNOWN})"
 _SEEN = f"{_SIGHTINGS} SELECT {_FIELDS} FROM s WHERE plate IN ({_KNOWN})"
@@ -170,6 +182,24 @@ ORACLE = {
     "cotravel_all_of_five": f"{_met(WIDER_S, 'all', n=5)} {_groups()}",
     "first_entry_without_positions": _spoilt(_FIRST_ENTRY),
     "cotravel_without_positions": _spoilt(f"{_met(180)} SELECT gram, plate FROM m"),
+    "stored_sightings_since": _texted(_SINCE),
+    "first_entry_stored": _texted(_FIRST_ENTRY),
+    "clone_plate_pairs_same_hour": f"""{_pairs(_SAME_HOUR, "speed_kmh > 180 OR (hours = 0 AND distance_km > 0)")}
+        SELECT * FROM p""",
+    "leg_speeds_clock12": f"{_LEGS12} SELECT * FROM p",
+    "clone_report_all_pairs": f"{_report(_pairs())} {_CLONE_TABLE}",
+    "clone_watchlist_at_limit": f"{_pairs()} SELECT DISTINCT plate FROM p",
+    "cotravel_groups_self_wide": f"{_met(WIDE_S, allow_self=True)} {_groups()}",
+    "watchlist_alerts_refreshed": _ALERTS,
+    "watchlist_alerts_two_streams": _ALERTS,
+    "watchlist_alerts_restarted": _ALERTS,
+    "message_alerts_bad_time": _ALERTS.replace(f"SELECT {_FIELDS} FROM", f"SELECT {_FIELDS[4:]} FROM") + " AND site_id <> 'signup'",
+    "last_offset": """SELECT max(event_id) AS "offset" FROM events""",
+    "dead_entries": f"""{_SIGHTINGS}
+        SELECT CASE WHEN site_id <> 'error' THEN plate END AS plate,
+               CASE WHEN site_id = 'signup' THEN 'bad' ELSE {_TIME} END AS time_text,
+               CASE WHEN site_id = 'error' THEN 'plate' ELSE 'time' END AS reason
+        FROM s WHERE site_id IN ('signup', 'error')""",
     "site_sequences": _sequence_text(3),
     "site_sequences_of_five": _sequence_text(5),
     "clone_plate_pairs": f"{_pairs()} SELECT * FROM p",
@@ -185,9 +215,7 @@ ORACLE = {
                CAST({RUN_ID} AS BIGINT) AS run_id, TIMESTAMP '{RUN_TIME}' AS created_at
         FROM d JOIN s ON d.id = s.id""",
     "clone_report_adjacent": f"""{_report(_LEGS.replace("p AS (", "q AS (") + ", p AS (SELECT * FROM q WHERE speed_kmh > 180)")}
-        SELECT CAST(d.id AS VARCHAR) AS id, plate AS hphm, brand AS clpp, colour AS clys, {_TIME} AS tgsj,
-               site_id AS kkbh, CAST({RUN_ID} AS BIGINT) AS jsbh
-        FROM d JOIN s ON d.id = s.id""",
+        {_CLONE_TABLE}""",
     "clone_watchlist": f"{_FAST} SELECT DISTINCT plate FROM p",
     "cotravel_members": f"{_met(180)} SELECT gram, plate FROM m",
     "cotravel_groups": f"{_met(180)} {_groups()}",

@@ -15,8 +15,9 @@ from platewatch.sinks.alerts import ParquetAlerts
 from platewatch.sinks.messages import encode_messages, publish_to_files
 from platewatch.sources.events import events_as_sightings, read_events
 from platewatch.sources.files import COTRAVEL_NEEDS, HISTORY_NEEDS, read_sighting_table, read_sightings
-from platewatch.sources.kafka import read_message_files
+from platewatch.sources.kafka import read_message_files, stored_offset
 from platewatch.sources.messages import decode_messages as decode
+from platewatch.sources.store import append_to_store, read_store
 from platewatch.streaming import alerts
 
 CUTOFF = datetime(2024, 1, 15)
@@ -46,6 +47,22 @@ def sightings_since_sql(spark, folder):
     )
 
 
+def _store(spark, folder):
+    path = f"{new_folder(spark, 'store')}/sightings"
+    append_to_store(read_events(spark, folder), path)
+    return path
+
+
+def stored_sightings_since(spark, folder):
+    return read_store(spark, _store(spark, folder), since=CUTOFF).select(*ALERT_FIELDS)
+
+
+def first_entry_stored(spark, folder):
+    path = _store(spark, folder)
+    known = read_store(spark, path, until=KNOWN_UNTIL)
+    return analyses.first_entries(read_store(spark, path), known).select(*ALERT_FIELDS)
+
+
 def _every(sightings):
     """Sends every key the way of heavy ones, which has to give the same rows."""
     return {"heavy": EveryKey(sightings.count()), "piece_rows": PIECE_ROWS}
@@ -107,6 +124,13 @@ def clone_plate_pairs_simultaneous(spark, folder):
     return clone.clone_plate_pairs(read_events(spark, folder), flag_simultaneous=True)
 
 
+def clone_plate_pairs_same_hour(spark, folder):
+    """Times cut to the hour, so that many sightings share a moment."""
+    minutes = F.make_dt_interval(mins=F.minute("pass_time"), secs=F.second("pass_time").cast("decimal(18,6)"))
+    rows = read_events(spark, folder).withColumn("pass_time", F.col("pass_time") - minutes)
+    return clone.clone_plate_pairs(rows, flag_simultaneous=True)
+
+
 def clone_plate_pairs_heavy(spark, folder):
     return clone.clone_plate_pairs(read_events(spark, folder), heavy=clone.EVERY_PLATE)
 
@@ -119,6 +143,10 @@ def leg_speeds(spark, folder):
     return clone.leg_speeds(read_events(spark, folder))
 
 
+def leg_speeds_clock12(spark, folder):
+    return clone.leg_speeds(read_events(spark, folder), clock12=True)
+
+
 def clone_plate_report(spark, folder):
     sightings = read_events(spark, folder)
     return clone.clone_plate_report(clone.clone_plate_pairs(sightings), sightings, RUN_ID, RUN_TIME)
@@ -129,6 +157,15 @@ def clone_report_adjacent(spark, folder):
     return rows.drop("create_time")
 
 
+def clone_report_all_pairs(spark, folder):
+    return analyses.cloned_plates(read_events(spark, folder), RUN_ID, RUN_TIME).drop("create_time")
+
+
+def clone_watchlist_at_limit(spark, folder):
+    """At the speed that is the default."""
+    return clone.clone_watchlist(read_events(spark, folder))
+
+
 def clone_watchlist(spark, folder):
     return clone.clone_watchlist(read_events(spark, folder), max_kmh=FAST_KMH)
 
@@ -159,6 +196,11 @@ def cotravel_groups_self(spark, folder):
     return _group_text(cotravel.cotravel_members(read_events(spark, folder), allow_self=True))
 
 
+def cotravel_groups_self_wide(spark, folder):
+    """A tolerance that lets plates keep company with themselves."""
+    return _group_text(cotravel.cotravel_members(read_events(spark, folder), tolerance_s=WIDE_S, allow_self=True))
+
+
 def cotravel_all(spark, folder):
     members = cotravel.cotravel_members(read_events(spark, folder), tolerance_s=WIDE_S, match="all")
     return _group_text(members)
@@ -190,26 +232,29 @@ def _history(sightings):
     return sightings.where(F.col("pass_time") < F.lit(str(KNOWN_UNTIL)).cast("timestamp_ntz"))
 
 
+def _known(spark, folder):
+    return read_events(spark, folder, until=KNOWN_UNTIL)
+
+
 def first_entry(spark, folder):
-    sightings = read_events(spark, folder)
-    return analyses.first_entries(sightings, _history(sightings)).select(*ALERT_FIELDS)
+    return analyses.first_entries(read_events(spark, folder), _known(spark, folder)).select(*ALERT_FIELDS)
 
 
 def seen_before(spark, folder):
     sightings = read_events(spark, folder)
-    seen = membership.seen_before(sightings, membership.plate_set(_history(sightings)))
+    seen = membership.seen_before(sightings, membership.plate_set(_known(spark, folder)))
     return since_cutoff(seen, KNOWN_UNTIL).select(*ALERT_FIELDS)
 
 
 def seen_before_counted(spark, folder):
     sightings = read_events(spark, folder)
-    counts = membership.plate_counts(_history(sightings))
+    counts = membership.plate_counts(_known(spark, folder))
     return membership.seen_before_counted(sightings, counts).select(*ALERT_FIELDS, "times_seen")
 
 
 def seen_before_repeated(spark, folder):
     sightings = read_events(spark, folder)
-    counts = membership.plate_counts(_history(sightings))
+    counts = membership.plate_counts(_known(spark, folder))
     return membership.seen_before_repeated(sightings, counts).select(*ALERT_FIELDS, "copy")
 
 
@@ -250,12 +295,58 @@ def watchlist_alerts_stream(spark, folder):
     )
 
 
+def watchlist_alerts_refreshed(spark, folder):
+    """The watchlist, stored as a table, is read anew for each micro-batch."""
+    path = new_folder(spark, "watchlist")
+    clone.clone_watchlist(read_events(spark, folder), max_kmh=FAST_KMH).write.parquet(path)
+    return _alerts_of(
+        spark,
+        alerts.start_watchlist_alerts,
+        _event_stream(spark, folder),
+        lambda: spark.read.parquet(path),
+        refresh_plates=True,
+    )
+
+
+def watchlist_alerts_two_streams(spark, folder):
+    """Two streams append to one table: what passes one site, and the rest."""
+    place = new_folder(spark, "alerts")
+    target = ParquetAlerts(f"{place}/table")
+    view = F.col("site_id") == "view"
+    for number, part in enumerate((view, ~view)):
+        _run_once(spark, folder, _event_stream(spark, folder).where(part), target, f"{place}/checkpoint-{number}")
+    return target.read(spark).select(*ALERT_FIELDS)
+
+
+def watchlist_alerts_restarted(spark, folder):
+    """A stream is stopped and goes on from its checkpoint when more events have come."""
+    place = new_folder(spark, "alerts")
+    target = ParquetAlerts(f"{place}/table")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    early = F.col("ts") < F.lit(str(CUTOFF)).cast("timestamp_ntz")
+    for part in (early, ~early):
+        events.where(part).write.mode("append").parquet(f"{place}/events")
+        stream = events_as_sightings(spark.readStream.schema(events.schema).parquet(f"{place}/events"))
+        _run_once(spark, folder, stream, target, f"{place}/checkpoint")
+    return target.read(spark).select(*ALERT_FIELDS)
+
+
+def _run_once(spark, folder, stream, target, checkpoint):
+    alerts.start_watchlist_alerts(
+        stream,
+        lambda: clone.clone_watchlist(read_events(spark, folder), max_kmh=FAST_KMH),
+        target,
+        checkpoint,
+        trigger={"availableNow": True},
+    ).awaitTermination()
+
+
 def first_entry_stream(spark, folder):
     return _alerts_of(
         spark,
         alerts.start_first_entry,
         _event_stream(spark, folder),
-        lambda: _history(read_events(spark, folder)),
+        lambda: _known(spark, folder),
     )
 
 
@@ -264,7 +355,7 @@ def seen_before_stream(spark, folder):
         spark,
         alerts.start_seen_before,
         _event_stream(spark, folder),
-        lambda: _history(read_events(spark, folder)),
+        lambda: _known(spark, folder),
     )
 
 
@@ -273,7 +364,7 @@ def seen_before_repeated_stream(spark, folder):
         spark,
         alerts.start_seen_before,
         _event_stream(spark, folder),
-        lambda: _history(read_events(spark, folder)),
+        lambda: _known(spark, folder),
         [*ALERT_FIELDS, "copy"],
         repeated=True,
     )
@@ -292,6 +383,36 @@ def message_alerts_stream(spark, folder):
     )
 
 
+def message_alerts_bad_time(spark, folder):
+    """The same where the times of one site are missing: its sightings are set aside."""
+    messages = f"{new_folder(spark, 'messages')}/topic"
+    time = F.when(F.col("site_id") != "signup", F.col("pass_time"))
+    publish_to_files(read_events(spark, folder).withColumn("pass_time", time), messages, MESSAGE_ROWS)
+    return _alerts_of(
+        spark,
+        alerts.start_watchlist_alerts,
+        decode(read_message_files(spark, messages)).sightings,
+        lambda: clone.clone_watchlist(read_events(spark, folder), max_kmh=FAST_KMH),
+        [f for f in ALERT_FIELDS if f != "id"],
+    )
+
+
+def last_offset(spark, folder):
+    """The offset that a table holds last, here that of the last event."""
+    offsets = spark.read.parquet(f"{folder}/events.parquet").select(F.col("event_id").alias("offset"))
+    return spark.range(1).select(F.lit(stored_offset(offsets.orderBy("offset"))).cast("long").alias("offset"))
+
+
+def dead_entries(spark, folder):
+    """Entries of one site come without plate, those of another with a spoilt time; only these come back."""
+    rows = read_events(spark, folder)
+    time = F.when(F.col("site_id") == "signup", F.lit("bad")).otherwise(format_time(F.col("pass_time")))
+    plate = F.when(F.col("site_id") != "error", F.col("plate"))
+    entry = F.struct(plate.alias("HPHM"), time.alias("TGSJ"))
+    messages = rows.select(F.to_json(F.array(entry)).alias("value"))
+    return decode(messages).dead_entries.select("plate", "time_text", "reason")
+
+
 def decode_messages(spark, folder):
     messages = encode_messages(read_events(spark, folder), MESSAGE_ROWS)
     return decode(messages).sightings.drop("id")
@@ -372,6 +493,7 @@ QUERIES = {
     for q in (
         sightings_since,
         sightings_since_sql,
+        stored_sightings_since,
         plate_trail,
         plate_trail_parts,
         plate_trail_parts_heavy,
@@ -382,35 +504,47 @@ QUERIES = {
         clone_plate_pairs_since,
         clone_plate_pairs_clock12,
         clone_plate_pairs_simultaneous,
+        clone_plate_pairs_same_hour,
         clone_plate_pairs_heavy,
         clone_plate_adjacent,
         leg_speeds,
+        leg_speeds_clock12,
         clone_plate_report,
         clone_report_adjacent,
+        clone_report_all_pairs,
         clone_watchlist,
+        clone_watchlist_at_limit,
         clone_watchlist_heavy,
         cotravel_members,
         cotravel_members_heavy,
         cotravel_groups,
         cotravel_groups_self,
+        cotravel_groups_self_wide,
         cotravel_groups_parts,
         cotravel_all,
         cotravel_all_of_five,
         cotravel_pairs,
         cotravel_result,
         first_entry,
+        first_entry_stored,
         seen_before,
         seen_before_counted,
         seen_before_repeated,
         watchlist_alerts,
         watchlist_alerts_stream,
+        watchlist_alerts_refreshed,
+        watchlist_alerts_two_streams,
+        watchlist_alerts_restarted,
         first_entry_stream,
         seen_before_stream,
         seen_before_repeated_stream,
         message_alerts_stream,
+        message_alerts_bad_time,
         decode_messages,
         publish_sightings,
         dead_letters,
+        dead_entries,
+        last_offset,
         csv_sightings,
         csv_rejected,
         csv_mixed_headers,

@@ -2,13 +2,16 @@
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewatch.functions.clock import format_time
-from platewatch.model import ALERT_TABLE
+from platewatch.model import ALERT_TABLE, SIGHTING
 from platewatch.sources.jdbc import Database, read_table
 
+EMPTY_ALERTS = ", ".join(f"{name} {kind}" for name, kind in (SIGHTING | {"copy": "long", "stream": "string", "batch_id": "int"}).items())
+
 
 @dataclass(frozen=True)
 class ParquetAlerts:
@@ -27,7 +30,13 @@ class ParquetAlerts:
         alerts.write.mode("overwrite").parquet(f"{self.path}/stream={stream}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        """All alerts; before the first batch a table without rows."""
+        try:
+            return spark.read.parquet(self.path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], EMPTY_ALERTS)
 
 
 @dataclass(frozen=True)

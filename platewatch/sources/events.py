@@ -17,19 +17,26 @@ SITES = {
 }
 
 
-def read_events(spark: SparkSession, folder: str, since: datetime | None = None) -> DataFrame:
-    return events_as_sightings(spark.read.parquet(f"{folder}/events.parquet"), since)
+def read_events(
+    spark: SparkSession, folder: str, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    return events_as_sightings(spark.read.parquet(f"{folder}/events.parquet"), since, until)
 
 
-def events_as_sightings(events: DataFrame, since: datetime | None = None) -> DataFrame:
+def events_as_sightings(events: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
     """Map events to sightings; works on tables and on streams.
 
-    Passing times are cut to whole seconds.  ``since`` keeps what passed strictly later;
-    it is also put on the stored column, where the Parquet scan can skip row groups.
+    Passing times are cut to whole seconds.  ``since`` keeps what passed strictly later,
+    ``until`` what passed strictly earlier; both are put on the stored column, where the
+    Parquet scan can skip row groups.
     """
     if since is not None:
         after = since.replace(microsecond=0) + timedelta(seconds=1)
         events = events.where(F.col("ts") >= moment_literal(after))
+    if until is not None:
+        # Cut to its second, a time is before a moment if it is before the next whole second.
+        before = until if not until.microsecond else until.replace(microsecond=0) + timedelta(seconds=1)
+        events = events.where(F.col("ts") < moment_literal(before))
     site = F.col("event_type")
     return events.select(
         F.col("event_id").alias("id"),

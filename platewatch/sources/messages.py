@@ -1,4 +1,7 @@
-"""Decoding messages: a JSON array of flat string maps becomes one row per sighting."""
+"""Decoding messages: a JSON array of flat string maps becomes one row per sighting.
+
+What cannot be read is kept beside: whole messages, and single entries of readable messages.
+"""
 
 from typing import NamedTuple
 
@@ -12,30 +15,47 @@ from platewatch.model import MESSAGE_FIELDS, MESSAGE_TYPE
 class Decoded(NamedTuple):
     sightings: DataFrame
     dead_letters: DataFrame
+    dead_entries: DataFrame
 
 
 def decode_messages(messages: DataFrame) -> Decoded:
-    """Sightings of readable messages, and the messages that cannot be read.
+    """Sightings, the messages that cannot be read, and the entries that are no sighting.
 
-    Missing keys give NULL.  ``id`` is the place in the topic where the message has one,
+    A message is one JSON array of flat maps and nothing after it.  An entry without a plate, with a
+    nested plate or with an unreadable time is no sighting: it comes back with its
+    text, its time as received and the reason.  Other missing keys give NULL.  ``id`` is the place in the topic where the message has one,
     so that the same content sent twice stays two sightings; else it is made of the content.
     """
     if {"topic", "partition", "offset"} <= set(messages.columns):
         origin = F.concat_ws("-", *[F.col(c).cast("string") for c in ("topic", "partition", "offset")])
     else:
         origin = F.md5("value")
-    parsed = messages.withColumn("entries", F.from_json("value", MESSAGE_TYPE))
+    # Inside a further array, text after the end of the message makes it unreadable.
+    whole = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), f"array<{MESSAGE_TYPE}>")
+    single = (F.size(whole) == 1) & F.rtrim("value").endswith("]")
+    parsed = messages.withColumn("entries", F.when(single, whole[0]))
     rows = parsed.where(F.col("entries").isNotNull()).select(
         origin.alias("origin"), F.posexplode("entries").alias("place", "entry")
     )
     identity = F.concat_ws("-", "origin", F.col("place").cast("string"))
     text = {name: F.col("entry")[key] for name, key in MESSAGE_FIELDS.items()}
-    sightings = rows.select(
+    moment = parse_time(text["pass_time"])
+    plate = F.trim(text["plate"])
+    bad_plate = plate.isNull() | (plate == "") | F.substring(plate, 1, 1).isin("{", "[")
+    reason = F.when(bad_plate, "plate").when(moment.isNull(), "time")
+    sightings = rows.where(reason.isNull()).select(
         identity.alias("id"),
         text["plate"].alias("plate"),
         text["brand"].alias("brand"),
         text["colour"].alias("colour"),
-        parse_time(text["pass_time"]).alias("pass_time"),
+        moment.alias("pass_time"),
         text["site_id"].alias("site_id"),
     )
-    return Decoded(sightings, parsed.where(F.col("entries").isNull()).drop("entries"))
+    dead_entries = rows.where(reason.isNotNull()).select(
+        identity.alias("id"),
+        text["plate"].alias("plate"),
+        text["pass_time"].alias("time_text"),
+        F.to_json("entry").alias("entry"),
+        reason.alias("reason"),
+    )
+    return Decoded(sightings, parsed.where(F.col("entries").isNull()).drop("entries"), dead_entries)

@@ -38,7 +38,8 @@ def start_alerts(
 
     Plates are read, frozen and measured once when the stream starts.  With
     ``refresh_plates`` each micro-batch reads them anew, and the join goes by what the
-    adaptive execution measures.
+    adaptive execution measures; that is for plates that are cheap to read, such as a table of
+    them, not for a whole analysis per micro-batch.
     """
     fixed = None if refresh_plates else frozen(load_plates())
 
@@ -85,7 +86,7 @@ def start_seen_before(
 
 
 def start_dead_letters(dead_letters: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep unreadable messages in a Parquet table."""
+    """Keep unreadable messages, or unreadable entries, in a Parquet table."""
     return (
         dead_letters.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
