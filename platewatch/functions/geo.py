@@ -56,4 +56,6 @@ def longest_flagged_gap_s(widest_km: float, max_kmh: float) -> int:
     A speed is truncated before it is compared, so a flagged one is at least the next
     whole km/h; hours are rounded to four decimals, which is worth under a second.
     """
+    if max_kmh < 0:
+        raise ValueError("a speed limit is not negative")
     return math.ceil(3600 * widest_km / (math.floor(max_kmh) + 1)) + 1

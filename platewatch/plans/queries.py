@@ -16,6 +16,7 @@ from platewatch.sinks.messages import encode_messages, publish_to_files
 from platewatch.sources.events import events_as_sightings, read_events
 from platewatch.sources.files import COTRAVEL_NEEDS, HISTORY_NEEDS, read_sighting_table, read_sightings
 from platewatch.sources.kafka import read_message_files, stored_offset
+from platewatch.sources.messages import dead_entries as entries_set_aside
 from platewatch.sources.messages import decode_messages as decode
 from platewatch.sources.store import append_to_store, read_store
 from platewatch.streaming import alerts
@@ -410,7 +411,7 @@ def dead_entries(spark, folder):
     plate = F.when(F.col("site_id") != "error", F.col("plate"))
     entry = F.struct(plate.alias("HPHM"), time.alias("TGSJ"))
     messages = rows.select(F.to_json(F.array(entry)).alias("value"))
-    return decode(messages).dead_entries.select("plate", "time_text", "reason")
+    return entries_set_aside(messages).select("plate", "time_text", "reason")
 
 
 def decode_messages(spark, folder):

@@ -126,7 +126,16 @@ def test_dead_letters_are_kept(spark, tmp_path):
     send(tmp_path / "in", "1.json", message("A"), "bad", "{}")
     dead = decode_messages(read_message_files(spark, str(tmp_path / "in"))).dead_letters
     start_dead_letters(dead, str(tmp_path / "out"), str(tmp_path / "cp"), trigger=ONCE).awaitTermination()
-    assert "bad" in {r.value for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["bad", "{}"]
+
+
+def test_a_new_checkpoint_on_an_old_table_loses_nothing(spark, tmp_path, known):
+    target = ParquetAlerts(str(tmp_path / "out"))
+    for run, plate in enumerate("AB"):
+        send(tmp_path / f"in{run}", "1.json", message(plate))
+        stream = decode_messages(read_message_files(spark, str(tmp_path / f"in{run}"))).sightings
+        start_watchlist_alerts(stream, lambda: known, target, str(tmp_path / f"cp{run}"), trigger=ONCE).awaitTermination()
+    assert plates(target.read(spark)) == ["A", "B"]
 
 
 def test_a_repeated_batch_adds_nothing(spark, tmp_path):
