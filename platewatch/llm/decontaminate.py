@@ -5,7 +5,8 @@ window, staying or moving on at each step as a random function of the word says,
 that two texts a few edits apart read the same words at most steps: edit distance becomes
 Hamming distance.  A sample of the steps is a hash key; repeated with fresh walks and samples
 until simulated edits at the limit are found with the wanted recall.  What shares a key
-with an item is verified by its exact edit distance.
+with an item is verified by its exact edit distance, the smallest over all starts and ends around
+the window, as a copy with words dropped or inserted is shorter or longer than its item.
 
 Three savings lose nothing.  Words that no item has are one symbol, as they match nothing.  An
 item cut into one piece more than the edits allowed has a piece that stays whole, so only windows
@@ -80,6 +81,42 @@ def edit_distance(masks: dict, length: int, window) -> int:
     return score
 
 
+def nearest_part(masks: dict, length: int, line: list, limit: int) -> tuple[int, int] | None:
+    """Smallest number of edits between an item and any part of a line, and the first start of such a part.
+
+    None if every part is more than ``limit`` edits away.  The columns are those of ``edit_distance``
+    with a first row of zeros, as a part starts anywhere.
+    """
+    edits, end = min((score, place) for place, score in enumerate(_columns(masks, length, line, 0), 1))
+    if edits > limit:
+        return None
+    # Backwards from the first end.  Alignments of two ends cross, so no later end has an earlier start.
+    back = {symbol: int(f"{mask:0{length}b}"[::-1], 2) for symbol, mask in masks.items()}
+    sizes = [n for n, score in enumerate(_columns(back, length, line[max(0, end - length - limit) : end][::-1], 1), 1) if score == edits]
+    return edits, end - max(sizes)
+
+
+def _columns(masks: dict, length: int, line: list, step: int):
+    """After every symbol, the edits between the item and the line so far (step 1) or its best ending (step 0)."""
+    full = (1 << length) - 1
+    plus, minus, score, last = full, 0, length, 1 << (length - 1)
+    for symbol in line:
+        match = masks.get(symbol, 0)
+        down = match | minus
+        across = (((match & plus) + plus) ^ plus) | match
+        up = minus | (full & ~(across | plus))
+        same = plus & across
+        if up & last:
+            score += 1
+        elif same & last:
+            score -= 1
+        up = ((up << 1) | step) & full
+        same = (same << 1) & full
+        plus = same | (full & ~(down | up))
+        minus = up & down
+        yield score
+
+
 class Walks:
     """CGK walks and sampled steps for strings of one length."""
 
@@ -122,8 +159,11 @@ class Index:
     seeds: dict
     seeded: np.ndarray
 
-    def search(self, text: str | None) -> list[dict]:
-        """Item, smallest number of edits, and first word of the best (first) window, per item found."""
+    def search(self, text: str | None, any_length: bool = False) -> list[dict]:
+        """Item, smallest number of edits, and first word of the best (first) window, per item found.
+
+        Windows have the item's number of words, or with ``any_length`` every number the limit allows.
+        """
         words = words_of(text)
         if len(words) < SEED_WORDS:
             return []
@@ -142,10 +182,15 @@ class Index:
             if len(words) + group["limit"] < length:
                 continue
             # Every window that holds a seed; a text a few words short of the item is one window.
-            reach = np.array(places)[:, None] - np.arange(length - SEED_WORDS + 1)
-            starts = np.unique(np.clip(reach, 0, max(0, len(words) - length)))
-            inside = symbols[np.minimum(starts[:, None] + np.arange(length), len(words) - 1)]
-            starts = starts[group["member"][inside].sum(1) >= length - group["limit"]]
+            # Words put in before the seed move it on; a copy with words dropped may end with the text.
+            spare = group["limit"] if any_length else 0
+            reach = np.array(places)[:, None] - np.arange(length - SEED_WORDS + 1 + spare)
+            starts = np.unique(np.clip(reach, 0, max(0, len(words) - length + spare)))
+            inside = starts[:, None] + np.arange(length)
+            known = group["member"][symbols[np.minimum(inside, len(words) - 1)]]
+            if any_length:
+                known &= inside < len(words)
+            starts = starts[known.sum(1) >= length - group["limit"]]
             if not len(starts):
                 continue
             pairs = set()
@@ -155,6 +200,9 @@ class Index:
                 for keys, table, seen in zip(walks.keys(codes, starts), group["tables"], group["seen"]):
                     for place in np.flatnonzero(np.isin(keys, seen)):
                         pairs.update((int(starts[place]), i) for i in table[int(keys[place])])
+            if any_length:
+                self._verify(group, pairs, symbols, best)
+                continue
             # Moving on by one word changes the distance by two at most: that rules out some starts.
             reach: dict[int, int] = {}
             for start, i in sorted(pairs):
@@ -168,12 +216,32 @@ class Index:
                     best[number] = (edits, start)
         return [{"item": n, "edits": e, "start": s} for n, (e, s) in sorted(best.items())]
 
+    @staticmethod
+    def _verify(group: dict, pairs: set, symbols: np.ndarray, best: dict) -> None:
+        """Put the best part around each item's candidate windows into ``best``; windows that overlap are read once."""
+        length, limit = group["length"], group["limit"]
+        areas: dict[int, list[list[int]]] = {}
+        for start, i in sorted(pairs):
+            first, end = max(0, start - limit), min(len(symbols), start + length + limit)
+            own = areas.setdefault(i, [])
+            if own and first <= own[-1][1]:
+                own[-1][1] = end
+            else:
+                own.append([first, end])
+        for i, own in areas.items():
+            number, masks = group["items"][i]
+            for first, end in own:
+                found = nearest_part(masks, length, symbols[first:end].tolist(), limit)
+                if found and (number not in best or found[0] < best[number][0]):
+                    best[number] = (found[0], first + found[1])
+
 
 def repeats_needed(items: list[list[int]], codes: np.ndarray, share: float, recall: float, seed: int = SEED) -> int | None:
     """How many walks find simulated copies with the most edits allowed; None if the limit is not enough.
 
     At most ``CALIBRATION_ITEMS`` items are edited, eight times each, by replacing, dropping and
-    inserting words in turn.
+    inserting words in turn.  Copies within the limit that share a key are verified hits, as
+    ``search`` with ``any_length`` tries all starts and ends around a candidate.
     """
     random = np.random.default_rng(seed)
     chosen = [items[i] for i in random.permutation(len(items))[:CALIBRATION_ITEMS]]
@@ -280,7 +348,7 @@ def hits_column(index: Index, ids: list, text: Column) -> Column:
     def hits(texts: pa.Array) -> pa.Array:
         found = []
         for value in texts.to_pylist():
-            own = index.search(value)
+            own = index.search(value, any_length=True)
             found.append([{**h, "item": i} for h in own for i in ids[h["item"]]])
         return pa.array(found, _HITS)
 

@@ -86,6 +86,52 @@ def test_without_hashing_every_window_is_verified(monkeypatch):
         assert got == brute(line, items)
 
 
+def brute_any_length(words, items):
+    found = {}
+    for number, item in items:
+        n, limit = len(item), d.edit_limit(len(item))
+        best = min(((plain_distance(item, words[s : s + m]), s) for m in range(n - limit, n + limit + 1)
+                    for s in range(len(words) - m + 1)), default=(n, 0))
+        if best[0] <= limit:
+            found[number] = best
+    return found
+
+
+def test_windows_of_all_lengths_without_hashing(monkeypatch):
+    monkeypatch.setattr(d, "repeats_needed", lambda *a: None)
+    items, texts = made_up(4)
+    items = [(i, item[:20]) for i, item in items[:4]]
+    index = d.build_index(items)
+    for n, line in enumerate(texts[:16]):
+        if n % 2:
+            copy = list(items[n % 4][1])
+            for k in range(d.edit_limit(len(copy))):
+                at = (7 * k + n) % len(copy)
+                copy[at : at + n // 2 % 2] = [b"new"] * (1 - n // 2 % 2)
+            line[n % 5 : n % 5] = copy
+        got = {h["item"]: (h["edits"], h["start"]) for h in index.search(b" ".join(line).decode(), any_length=True)}
+        assert got == brute_any_length(line, items)
+
+
+@pytest.mark.parametrize("length", [20, 45])
+@pytest.mark.parametrize("kind", ["drop", "insert"])
+@pytest.mark.parametrize("last", [False, True])
+def test_copies_with_all_edits_of_one_kind(spark, length, kind, last):
+    r = random.Random(length)
+    items = [[f"i{n}x{r.randrange(999)}" for _ in range(length)] for n in range(60)]
+    texts = []
+    for item in items:
+        copy = list(item)
+        for _ in range(d.edit_limit(length)):
+            at = r.randrange(len(copy))
+            copy[at : at + (kind == "drop")] = ["new"] * (kind == "insert")
+        texts.append(" ".join(["before"] * 30 + copy + ["after"] * (0 if last else 30)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(item)) for n, item in enumerate(items)], "item_id bigint, text string")
+    got = {(row["doc_id"], row["item_id"]) for row in d.contaminated(docs, benchmark).collect()}
+    assert got <= {(n, n) for n in range(60)} and len(got) >= 58
+
+
 def test_awkward_rows(spark):
     benchmark = spark.createDataFrame(
         [(1, "plain words that STAND here, for a text of some length"), (1, "too short"), (2, None), (None, ""),
