@@ -1,8 +1,24 @@
 """The registered queries of this subpackage, and the SQL of those that have one."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
-from platewatch.llm import chat, decontaminate, extraction, mixing, nearest, pseudonyms, quality, sharding, simhash, token_shards
+from platewatch.llm import (
+    chat,
+    decontaminate,
+    extraction,
+    minhash,
+    mixing,
+    nearest,
+    pseudonyms,
+    quality,
+    repair,
+    sharding,
+    simhash,
+    spelling,
+    token_shards,
+)
 from platewatch.llm.common import table
 
 # Where the public tokenizer files lie on the driver.
@@ -64,5 +80,32 @@ def op10_chat(spark, folder):
     return chat.digests(chat.formatted(rows.unionByName(added)))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_extraction, op3_simhash, op4_mixing, op5_token_shards, op6_pseudonyms, op7_quality, op8_nearest, op9_sharding, op10_chat)}
+def op11_minhash(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op12_repair(spark, folder):
+    rows = table(spark, folder, "conversations")
+    found = repair.summaries(repair.damaged(rows)).withColumnRenamed("conv_id", "found_id")
+    every = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    nothing = {"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}
+    columns = [F.coalesce(c, F.lit(nothing.get(c, 0))).alias(c) for c in found.columns[1:]]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").select("conv_id", *columns)
+
+
+def op13_spelling(spark, folder):
+    rows = spelling.runs(table(spark, folder, "documents"), min_length=spelling.MIN_LENGTH)
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    marked = rows.select("run", F.crc32(F.encode(name, "UTF-8")).alias("h"))
+    at = (F.col("h") % F.length("run")).cast("int")
+    less = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    words = marked.select(F.when(F.col("h") % 31 == 0, less).otherwise(F.col("run")).alias("word"))
+    return spelling.spelling_groups(spelling.counted(words))
+
+
+_OWN = (
+    op1_decontaminate, op2_extraction, op3_simhash, op4_mixing, op5_token_shards, op6_pseudonyms, op7_quality,
+    op8_nearest, op9_sharding, op10_chat, op11_minhash, op12_repair, op13_spelling,
+)
+QUERIES = {f.__name__: f for f in _OWN}
 ORACLE = {"op4_mixing": mixing.ORACLE}

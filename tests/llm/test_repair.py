@@ -1,0 +1,147 @@
+import hashlib
+import random
+import re
+import zlib
+from itertools import groupby
+
+from pyspark.sql import functions as F
+
+from platewatch.llm import repair
+from platewatch.llm.queries import op12_repair
+
+NOTHING = hashlib.sha256().hexdigest()
+
+
+def brute(codes):
+    """Least (cost, audit) by trying all edits with up to two inserted turns in a row."""
+    best = None
+
+    def go(i, out, cost, audit, inserted):
+        nonlocal best
+        if best and cost > best[0]:
+            return
+        if i == len(codes) and re.fullmatch(r"(s?(ua)+)?", out):
+            best = min(best or (cost, audit), (cost, audit))
+        if inserted < 2:
+            for role in "ua":
+                go(i, out + role, cost + 3, audit + "I", inserted + 1)
+        if i < len(codes):
+            fault, initial = repair.read_code(codes[i])
+            more = 3 if fault == repair.CUT_OFF else 0
+            go(i + 1, out, cost + 4, audit + "D", 0)
+            if fault != repair.GONE:
+                if initial != "?":
+                    go(i + 1, out + initial, cost + more, audit + "K", 0)
+                for role in "ua":
+                    go(i + 1, out + role, cost + 3 + more, audit + "R", 0)
+
+    go(0, "", 0, "", 0)
+    return best
+
+
+def least(codes):
+    found = repair.derive(codes)
+    return min(found[s] for s in repair.WHOLE if s in found)
+
+
+def random_codes(r, n):
+    return "".join(repair.code_letter(r.choice([0, 0, 0, 1, 2]), r.choice("suauaua?")) for _ in range(n))
+
+
+def test_derivations_against_all_edits():
+    r = random.Random(3)
+    for _ in range(40):
+        codes = random_codes(r, r.randint(0, 3))
+        assert least(codes) == brute(codes)
+
+
+def test_pieces_join_to_the_whole():
+    r = random.Random(4)
+    for _ in range(100):
+        codes = random_codes(r, r.randint(0, 30))
+        cuts = [0, *sorted(r.randint(0, len(codes)) for _ in range(3)), len(codes)]
+        pieces = [[(a, b, *w) for a in range(4) for b, w in repair.derive(codes[x:y], a).items()] for x, y in zip(cuts, cuts[1:])]
+        assert repair.join_pieces(pieces) == least(codes)
+
+
+def plain(conv_id, rows):
+    """The row of one conversation whose (turn, role, text) come in order."""
+    seen, codes, n = set(), "", {"blank": 0, "duplicate": 0, "truncated": 0}
+    for _, role, text in rows:
+        bare = text.strip(" \t\n\r\x0b\f")
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+        seen.add((role, text))
+        if fault:
+            n[fault] += 1
+        initial = role[:1] if role[:1] in ("s", "u", "a") else "?"
+        codes += repair.code_letter({"": 0, "truncated": 1}.get(fault, 2), initial)
+    cost, audit = least(codes)
+    turn, out = repair.apply_audit(audit), []
+    for _, role, text in rows:
+        out += [f"{r}:{t}" for _, r, t in turn((role, text))]
+    out += [f"{r}:{t}" for _, r, t in turn(None)]
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in repair.LEGAL for a, b in zip(rows, rows[1:]))
+    return (conv_id, gaps, *n.values(), illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest())
+
+
+def plain_damage(conv_id, rows):
+    for turn, role, text in rows:
+        which = zlib.crc32(f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}".encode()) % 20
+        if which == 0:
+            continue
+        text = "" if which == 1 else re.sub("[.!?]", "", text) if which == 2 else text
+        role = "user" if which == 4 else role
+        yield from [(turn, role, text)] * (2 if which == 3 else 1)
+
+
+def tuples(found):
+    return {tuple(r) for r in found.collect()}
+
+
+def test_query_against_a_plain_computation(spark):
+    folder = "/root/testdata/sf0.001"
+    data = sorted((r["conv_id"], r["turn"], r["role"], r["text"]) for r in spark.read.parquet(f"{folder}/conversations.parquet").collect())
+    expected = set()
+    for conv_id, rows in groupby(data, key=lambda r: r[0]):
+        expected.add(plain(conv_id, list(plain_damage(conv_id, [r[1:] for r in rows]))))
+    assert tuples(op12_repair(spark, folder)) == expected
+
+
+def test_a_conversation_of_many_pieces_is_as_one(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(c, t, r.choice(["user", "assistant", "system", "tool"]), r.choice(["Yes.", "No!", "cut", " ", f"t{t}."]))
+            for c in range(3) for t in range(40)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    whole = tuples(repair.summaries(table))
+    assert whole == {plain(c, [x[1:] for x in rows if x[0] == c]) for c in range(3)}
+    monkeypatch.setattr(repair, "PIECE", 3)
+    assert tuples(repair.summaries(table)) == whole
+
+
+def test_awkward_rows(spark):
+    long = "word " * 50_000 + "."
+    rows = [
+        (1, 0, "user", "Hello."), (1, 0, "user", "Hello."), (1, None, "system", "Be kind."), (1, 3, "assistant", None),
+        (None, 2, "user", "Who?"), (None, 5, None, "Me."), (2, 0, "user", long), (2, 1, "assistant", long), (3, None, "", ""),
+        (4, 0, "user", "Same."), (4, 9, "user", "Same."),
+    ]
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id bigint, turn bigint, role string, text string, code string, _key int")
+    by = {r["conv_id"]: r for r in repair.summaries(table).collect()}
+    assert by.keys() == {1, 2, 3, 4, None}
+    # Null turns come first; equal rows are duplicates, the null text is blank.
+    assert (by[1]["gaps"], by[1]["blank"], by[1]["duplicate"], by[1]["audit"], by[1]["cost"]) == (2, 1, 1, "KKDDI", 11)
+    assert by[2]["audit"] == "KK" and by[2]["cost"] == 0
+    assert (by[3]["audit"], by[3]["gaps"], by[3]["repaired_sha256"]) == ("D", 0, NOTHING)
+    assert by[None]["audit"] == "KR" and by[4]["duplicate"] == 1 and by[4]["gaps"] == 8
+    assert repair.summaries(table.where(F.lit(False))).count() == 0
+    assert repair.repaired(*[f(table.where(F.lit(False))) for f in (repair.found_faults, lambda t: repair.derivations(repair.found_faults(t)))]).count() == 0
+
+
+def test_repaired_turns(spark):
+    rows = [(1, 0, "assistant", "Hi."), (1, 1, "user", "Ask?"), (1, 2, "assistant", "Well"), (1, 3, "system", "x.")]
+    faults = repair.found_faults(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    turns = repair.repaired(faults, repair.derivations(faults)).collect()
+    assert [(r["place"], r["edit"], r["role"], r["text"]) for r in sorted(turns, key=lambda r: r["place"])] == [
+        (0, "I", "user", ""), (1, "K", "assistant", "Hi."), (2, "K", "user", "Ask?"), (3, "R", "assistant", "x.")]

@@ -1,0 +1,96 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from platewatch.llm import spelling
+from platewatch.llm.queries import op13_spelling
+from tests.llm.cases import awkward, nothing
+
+
+def near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def plain_groups(counts, ratio=10):
+    rows = {}
+    blanked = defaultdict(set)  # words by what is left with one place open or gone
+    for w in counts:
+        for i in range(len(w)):
+            blanked[w[:i] + "*" + w[i + 1 :]].add(w)
+            blanked[w[:i] + w[i + 1 :]].add(w)
+        blanked[w].add(w)
+    for w in counts:
+        keys = [w] + [w[:i] + x + w[i + 1 :] for i in range(len(w)) for x in ("", "*")]
+        found = {o for k in keys for o in blanked[k] if near(w, o)}
+        best = min(found, key=lambda o: (-counts[o], o), default=None)
+        form = best if best and counts[best] >= ratio * counts[w] else None
+        rows[w] = (form, counts[w], len(found), counts[form] if form else None)
+    out = set()
+    for w, (form, n, k, m) in rows.items():
+        root = w
+        while rows[root][0]:
+            root = rows[root][0]
+        out.add((w, form, root, n, k, m))
+    return out
+
+
+def as_rows(found):
+    return {(r["word"], r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in found.collect()}
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abé", "abcdefghÿ"])
+def test_near_words_and_groups_against_all_pairs(spark, alphabet):
+    r = random.Random(len(alphabet))
+    words = {"".join(r.choices(alphabet, k=r.randint(4, 9))) for _ in range(150)}
+    for w in list(words):
+        i = r.randrange(len(w))
+        words |= {w[:i] + r.choice(alphabet) + w[i:], w[:i] + r.choice(alphabet) + w[i + 1 :]}
+    counts = {w: 10 ** r.randint(0, 4) for w in words}
+    table = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    expected = {(a, counts[a], b, counts[b]) for a in words for b in words if a < b and near(a, b)}
+    got = [tuple(x) for x in spelling.near_words(table).collect()]
+    assert len(got) == len(expected) and set(got) == expected
+    assert as_rows(spelling.spelling_groups(table)) == plain_groups(counts)
+
+
+def test_pivots_are_disjoint_and_the_rarest():
+    r = random.Random(0)
+    for _ in range(300):
+        places = sorted(r.sample(range(9), 4))
+        weights = [r.randint(1, 9) for _ in places]
+        chosen = spelling.disjoint(places, weights)
+        own = dict(zip(places, weights))
+        assert len(chosen) == 2 and chosen[1] - chosen[0] >= 2
+        assert sum(own[p] for p in chosen) == min(own[a] + own[b] for a in places for b in places if b - a >= 2)
+
+
+def test_query_against_plain_counts(spark):
+    folder = "/root/testdata/sf0.001"
+    counts = Counter()
+    for doc in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        for run in re.findall("[A-Za-zÀ-ÿ]+", doc["text"] or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{doc['doc_id']}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    expected = plain_groups({w: n for w, n in counts.items() if len(w) >= 7 and n >= 2})
+    assert as_rows(op13_spelling(spark, folder)) == expected
+
+
+def test_awkward_rows(spark):
+    found = spelling.runs(awkward(spark))
+    assert found.where("run = 'quick'").count() == 20_000
+    groups = spelling.spelling_groups(spelling.counted(found.withColumnRenamed("run", "word"), min_length=4, min_count=1))
+    by = {r["word"]: r for r in groups.collect()}
+    assert by["quick"]["n"] == 20_000 and by["some"]["form"] is None and by["some"]["root"] == "some"
+    empty = spelling.counted(spelling.runs(nothing(spark)).withColumnRenamed("run", "word"))
+    assert spelling.spelling_groups(empty).count() == 0
