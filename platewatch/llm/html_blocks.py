@@ -23,6 +23,7 @@ ENDS = {
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)
+      | <(?:svg|object|iframe)\b(?:"[^"]*"|'[^']*'|[^>"'])*/>
       | <(script|style|noscript|template|textarea|iframe|svg|object)\b(?:"[^"]*"|'[^']*'|[^>"'])*>.*?(?:</\1\s*>|\Z)
       | <[!?][^>]*(?:>|\Z)
       | <(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""",

@@ -70,6 +70,8 @@ class _Writer:
 
     def links(self, names, low=2, high=8):
         tags = self.open(self.pick(names))
+        if self.chance(0.3) and "ul" not in tags:
+            self.text(self.pick(["h2", "h3", "h4", "strong"]), DROP, self.words(1, 3))
         listed = self.chance(0.7) and "ul" not in tags
         self.parts.append("<ul>" if listed else "")
         for _ in range(int(self.random.integers(low, high))):

@@ -20,6 +20,34 @@ def test_blocks_of_broken_markup():
     assert [b.text for b in blocks("<title>t</title>x\xa0 \ty")] == ["t", "x y"]
 
 
+def test_elements_that_close_themselves_take_nothing_with_them():
+    page = '<nav>n</nav><main><svg class="i"/><p>a<object data="x" /> b</p><iframe src=y/><svg a="/>"><text>z</text></svg><p>c</main>'
+    assert [b.text for b in blocks(page)] == ["n", "a b", "c"]
+
+
+# Written by hand in the manner of common page kinds; none comes from the generator of training pages.
+BY_HAND = [
+    ("""<!doctype html><html><head><title>T</title><style>p{}</style></head><body><div id="page"><div class="masthead"><svg class="logo"/>
+     <a href=/>Daily Post</a><ul class="menu"><li><a href=/w>World</a><li><a href=/s>Sport</a></ul></div><div class="post"><h2>Bridge reopens after repairs</h2>
+     <p>The old bridge over the river was opened again on Monday, two years after the flood damaged its northern pillar.</p>
+     <p>Engineers replaced most of the stone work. The town paid for half of it, and the rest came from donations.</p>
+     <blockquote>It is good to walk across it again, said the mayor, who cut the ribbon together with two school children.</blockquote></div>
+     <div class="sidebar"><h4>Most read</h4><ul><li><a href=/1>One</a></li><li><a href=/2>Two</a></li></ul></div>
+     <div class="footer">&copy; Daily Post <a href=/t>Terms</a></div></div></body></html>""", 4),
+    ("""<body><header><nav><a href=/>Home</a> <a href=/docs>Docs</a></nav></header><article><h1>Reading large tables</h1>
+     <p>A table that does not fit into memory is read in parts, and every part is worked on by itself before the next one comes.</p>
+     <ul><li>Choose only the columns that are needed for the question.</li><li>Filter rows as early as possible, before any join takes place.</li></ul>
+     <p>What remains is usually small enough to be sorted, and the sorted parts can then be merged.</p></article>
+     <section class="comments"><p>Great!</p><p>Thanks for this.</p></section><footer><p>All rights reserved.</p></footer></body>""", 5),
+]
+
+
+@pytest.mark.parametrize("page, size", BY_HAND)
+def test_pages_written_by_hand(field, page, size):
+    kept = e.main_text(field, page).split("\n\n")
+    assert len(kept) == size and kept[0] in ("Bridge reopens after repairs", "Reading large tables")
+
+
 def test_viterbi_and_sums_against_all_labellings():
     random = np.random.default_rng(3)
     for size in (1, 2, 5):
