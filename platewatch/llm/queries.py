@@ -21,7 +21,7 @@ from platewatch.llm import (
 )
 from platewatch.llm.common import table
 
-# Where the public tokenizer files lie on the driver.
+# Where the public tokenizer files lie on the driver, unless a call names another file.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
@@ -42,9 +42,8 @@ def op4_mixing(spark, folder):
     return mixing.mixed(table(spark, folder, "documents"), columns=["doc_id", "source"])
 
 
-def op5_token_shards(spark, folder):
-    rows = token_shards.token_shards(table(spark, folder, "documents"), VOCABULARY)
-    return rows.drop("ids")
+def op5_token_shards(spark, folder, vocabulary=VOCABULARY):
+    return token_shards.token_shards(table(spark, folder, "documents"), vocabulary, with_ids=False)
 
 
 def op6_pseudonyms(spark, folder):

@@ -1,4 +1,5 @@
 import base64
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -41,10 +42,47 @@ def test_texts_come_back_and_slots_are_dense(spark, encoding):
     assert sorted(r["slot"] for r in later.select("slot").collect()) == list(range(total // 2, total))
 
 
-def test_records_have_one_stride(spark):
+def test_slots_and_ids_against_a_plain_permutation(spark, encoding):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(1)
+    rows = t.token_shards(docs, VOCABULARY, length=64).collect()
+    records = []
+    for d in docs.collect():
+        ids = [*encoding.encode_ordinary(d["text"]), 50256]
+        records += [(d["doc_id"], i // 64, ids[i : i + 64]) for i in range(0, len(ids), 64)]
+    # A permutation by whole numbers, step by step, with cycle-walking.
+    half = max(1, ((len(records) - 1).bit_length() + 1) // 2)
+    keys = [int(k) for k in np.random.default_rng(t.SEED).integers(0, 1 << 63, 8, dtype=np.uint64)]
+
+    def slot(value):
+        while True:
+            left, right = value >> half, value & (1 << half) - 1
+            for k in keys:
+                noise = (right + k) * 0xBF58476D1CE4E5B9 % (1 << 64)
+                noise = (noise ^ noise >> 31) * 0x94D049BB133111EB % (1 << 64)
+                left, right = right, left ^ (noise >> 20) & (1 << half) - 1
+            value = left << half | right
+            if value < len(records):
+                return value
+
+    expected = {slot(i): (doc, piece, len(ids), zlib.crc32(np.array(ids, "<u2").tobytes()), ids) for i, (doc, piece, ids) in enumerate(records)}
+    assert {r["slot"]: (r["doc_id"], r["piece"], r["n_tokens"], r["ids_crc32"], r["ids"]) for r in rows} == expected
+    slim = t.token_shards(docs, VOCABULARY, with_ids=False, length=64)
+    assert "ids" not in slim.columns
+    assert {r["slot"]: r["ids_crc32"] for r in slim.collect()} == {s: e[3] for s, e in expected.items()}
+
+
+def test_too_large_ids_are_refused_before_any_task(spark):
+    with pytest.raises(ValueError, match="70000"):
+        t.token_shards(awkward(spark), VOCABULARY, end_token=70_000)
+
+
+def test_records_have_one_stride_and_files_ranges_of_slots(spark, monkeypatch):
+    monkeypatch.setattr(t, "SHARD_RECORDS", 1 << 8)
     folder = new_folder(spark, "test-shards")
     t.write_token_shards(awkward(spark), VOCABULARY, folder, length=16)
     blocks = spark.read.parquet(folder)
+    files = blocks.groupBy(F.input_file_name().alias("f")).agg(F.min("first_slot").alias("a"), F.max("first_slot").alias("b")).orderBy("a").collect()
+    assert len(files) > 2 and all(x["b"] < y["a"] for x, y in zip(files, files[1:]))
     assert blocks.where(F.length("payload") != F.col("records") * t.stride(16)).count() == 0
 
 
