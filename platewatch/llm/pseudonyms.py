@@ -7,6 +7,7 @@ pseudonyms in all documents, and numbers that fail the rule stay as they are.
 """
 
 import datetime
+import ipaddress
 import re
 
 import pyarrow as pa
@@ -24,15 +25,27 @@ _PATTERN = re.compile(
   | (?P<secret>(?:token|secret|password|passwd|api[_-]?key)["']?\s*[=:]\s*["']?[0-9a-f]{16,}(?![0-9A-Za-z]))
   | (?P<iban>(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]){11,30}(?![0-9A-Za-z]))
   | (?P<phone>(?<![\w+])\+1[\x20.-]?(?:\(\d{3}\)|\d{3})[\x20.-]?\d{3}[\x20.-]?\d{4}(?!\d)
-      | (?<![\w+])\+(?!1[\x20.(-])\d{2,3}[\x20.-]?(?:\(\d{1,4}\)|\d{1,4})(?:[\x20.-]?\d{2,4}){2,3}(?!\d|\.\d)
-      | (?<![\w(])\(\d{3}\)[\x20.-]?\d{3}[\x20.-]\d{4}(?!\d))
+      | (?<![\w+])\+(?!1[\x20.(-])\d{1,3}[\x20.-]?(?:\(\d{1,4}\)|\d{1,4})(?:[\x20.-]?\d{2,4}){2,6}(?!\d|\.\d)
+      | (?<![\w(])\(\d{3}\)[\x20.-]?\d{3}[\x20.-]\d{4}(?!\d)
+      | (?<![\w.+-])[2-9]\d\d(?P<mark>[.-])\d{3}(?P=mark)\d{4}(?![\w-]|\.\d))
   | (?P<date>(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w-]|\.\d))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
+  | (?P<ipv6>(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d))
   | (?P<card>(?<![\w.-])(?:\d{13,19}|\d{4}(?:(?:\x20\d{4}){2}\x20\d{1,7}|(?:-\d{4}){2}-\d{1,7}|\x20\d{6}\x20\d{5}|-\d{6}-\d{5}))(?![\w-]))
     """,
     re.VERBOSE,
 )
+# Characters of an IBAN by country, as registered.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 _TRIGGER = re.compile(r"[0-9@]")
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
@@ -86,7 +99,7 @@ def _card(value, key):
 def _iban(value, key):
     joined = value.replace(" ", "")
     country, account = joined[:2], joined[4:]
-    if _iban_check(country, account) != joined[2:4]:
+    if len(joined) != IBAN_LENGTHS.get(country, len(joined)) or _iban_check(country, account) != joined[2:4]:
         return None
     account = _scramble(account, key, f"iban{country}")
     return _refill(value, country + _iban_check(country, account) + account)
@@ -107,6 +120,11 @@ def _ssn(value, key):
 def _phone(value, key):
     if not 8 <= sum(c.isdigit() for c in value) <= 15:
         return None
+    if value[0].isdigit():
+        # Without a country code the first digit is 2 to 9.
+        digits = re.sub(r"\D", "", value)
+        number = permute(int(digits) - 2 * 10**9, 8 * 10**9, key, b"phone10")
+        return _refill(value, str(number + 2 * 10**9))
     # The country code stays.
     head = re.match(r"\+\d{1,3}(?=[\x20.-]|\()[\x20.-]?|\+\d|", value)[0]
     return head + _scramble(value[len(head) :], key, "phone")
@@ -120,6 +138,17 @@ def _ip(value, key):
     return ".".join(map(str, number.to_bytes(4, "big")))
 
 
+def _ipv6(value, key):
+    try:
+        number = int(ipaddress.IPv6Address(value))
+    except ValueError:
+        return None
+    # The unspecified and the local address, and words such as abc::def, say nothing about anybody.
+    if number < 2 or not re.search(r"[0-9]", value):
+        return None
+    return str(ipaddress.IPv6Address(permute(number, 1 << 128, key, b"ipv6")))
+
+
 def _date(value, key):
     mark = next(c for c in value if not c.isdigit())
     parts = [int(p) for p in value.split(mark)]
@@ -148,7 +177,17 @@ def _secret(value, key):
     return value[: -len(plain)] + f"{number:0{len(plain)}x}"
 
 
-_KINDS = {"email": _email, "secret": _secret, "iban": _iban, "phone": _phone, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card}
+_KINDS = {"email": _email, "secret": _secret, "iban": _iban, "phone": _phone, "date": _date, "ssn": _ssn, "ip": _ip, "ipv6": _ipv6, "card": _card}
+# Kinds made of groups: what follows after a space or mark may belong to the text.
+_GROUPED = ("iban", "phone")
+
+
+def _ends(kind: str, value: str):
+    """The value, then what is left of one of a grouped kind without its last groups."""
+    yield value
+    if kind in _GROUPED:
+        for match in reversed(list(re.finditer(r"(?<=[0-9A-Z])[\x20.-]", value))):
+            yield value[: match.start()]
 
 
 def pseudonymise(text: str | None, key: bytes = KEY) -> tuple[str | None, list[dict]]:
@@ -159,7 +198,7 @@ def pseudonymise(text: str | None, key: bytes = KEY) -> tuple[str | None, list[d
     at = 0
     while match := _PATTERN.search(text, at):
         kind = next(k for k in _KINDS if match[k] is not None)
-        new = _KINDS[kind](match[0], key)
+        value, new = next(((v, made) for v in _ends(kind, match[0]) if (made := _KINDS[kind](v, key))), (None, None))
         if new is None:
             # What fails one rule may begin another value further on, but not inside the same digits.
             at = re.compile(r"[0-9]*").match(text, match.start() + 1).end()
@@ -168,7 +207,7 @@ def pseudonymise(text: str | None, key: bytes = KEY) -> tuple[str | None, list[d
         size += match.start() - done
         spans.append({"kind": kind, "start": size, "end": size + len(new)})
         size += len(new)
-        done = at = match.end()
+        done = at = match.start() + len(value)
     return "".join([*pieces, text[done:]]), spans
 
 

@@ -39,12 +39,40 @@ def test_dates_stay_dates(day):
 
 @pytest.mark.parametrize("text", [
     "invalid card 4111111111111112 stays", "year 2024 and 12345", "2023-02-30", "300.1.1.1", "1.2.3.4.5", "666-12-3456", "000-12-3456",
-    "GB82WEST12345698765433", "version 1.2.3", "", "no digits here",
+    "GB82WEST12345698765433", "version 1.2.3", "", "no digits here", "at 12:30:45", "abc::def", "00:1a:2b:3c:4d:5e", "::1", "155-123-4567",
 ])
 def test_what_fails_a_rule_stays(text):
     assert p.pseudonymise(text) == (text, [])
 
 
+@pytest.mark.parametrize("text, value", [
+    ("DE89370400440532013000 EUR 500.", "DE89370400440532013000"), ("GB82WEST12345698765432 BIC NWBKGB2L", "GB82WEST12345698765432"),
+    ("DE89 3704 0044 0532 0130 00 I think", "DE89 3704 0044 0532 0130 00"), ("GB82WEST12345698765432 20 30 40", "GB82WEST12345698765432"),
+    ("+7 495 123-45-67", "+7 495 123-45-67"), ("+33 1 23 45 67 89", "+33 1 23 45 67 89"), ("call 555-123-4567 now", "555-123-4567"),
+    ("555.123.4567", "555.123.4567"), ("from 2001:db8::ff00:42:8329.", "2001:db8::ff00:42:8329"),
+])
+def test_a_value_is_replaced_whole_and_no_more(text, value):
+    new, spans = p.pseudonymise(text)
+    before, after = text.split(value)
+    assert len(spans) == 1 and new.startswith(before) and new.endswith(after)
+    made = new[spans[0]["start"] : spans[0]["end"]]
+    assert made == new[len(before) : len(new) - len(after)] and made != value
+    # A pseudonym is a valid value of its kind, and other spellings of one address stay linked.
+    assert [s["kind"] for s in p.pseudonymise(new)[1]] == [s["kind"] for s in spans]
+    assert p.pseudonymise("2001:DB8:0::FF00:42:8329")[0] == p.pseudonymise("2001:db8::ff00:42:8329")[0]
+
+
+def test_ibans_against_every_country_length():
+    # Brute force: all cuts of a run of groups at every length, checked by the definition.
+    for country, size in p.IBAN_LENGTHS.items():
+        account = "".join(str(i * 7 % 10) for i in range(size - 4))
+        iban = country + p._iban_check(country, account) + account
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+        new, spans = p.pseudonymise(f"to {iban} USD 12 ABC")
+        assert [s["kind"] for s in spans] == ["iban"] and spans[0]["end"] == 3 + size and new.endswith(" USD 12 ABC")
+        assert p.pseudonymise(f"to {iban}9")[1] == []
+
+
 def test_other_kinds_keep_their_shape():
     text = 'a.b7@mail.example.org +1 (974) 555-3436 10.20.30.40 123-45-6789 GB82 WEST 1234 5698 7654 32 token = "00ff00ff00ff00ff00ff"'
     new, spans = p.pseudonymise(text)
