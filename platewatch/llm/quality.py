@@ -19,7 +19,7 @@ DIMENSIONS = 8
 GRAMS = (3, 4, 5)
 EPOCHS = 12
 RATE = 0.5
-SAMPLE_ROWS = 1000
+SAMPLE_ROWS = 5000
 CHUNK_BYTES = 1 << 20
 SEED = 17
 

@@ -15,6 +15,13 @@ def test_held_out_accuracy(spark):
     assert np.mean(good) > 0.97
 
 
+def test_accuracy_by_class_where_there_are_thousands_of_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.with_quality(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    by = {q: np.mean([r["predicted"] == q for r in rows if r["quality"] == q]) for q in (0, 1)}
+    assert by[1] > 0.97 and by[0] >= 0.78, by
+
+
 def test_held_out_labels_and_other_columns_are_never_used(spark):
     folder = "/root/testdata/sf0.001"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
