@@ -29,7 +29,11 @@ PREFIX = GRAM * (PIVOTS - 1) + 1
 # Bigrams of the 26 + 64 letters, a bound on what the driver holds of them.
 MAX_GRAMS = 90 * 90
 
-_CHOSEN = pa.struct([("prefix", pa.list_(pa.int32())), ("pivots", pa.list_(pa.int32())), ("last", pa.int32())])
+# An edit takes away at most GRAM bigrams and puts in as many, each one bit of a word's mask.
+MAX_BITS = 2 * GRAM
+
+_CHOSEN_DDL = "struct<prefix:array<int>,pivots:array<int>,last:int,mask:bigint>"
+_CHOSEN = pa.struct([("prefix", pa.list_(pa.int32())), ("pivots", pa.list_(pa.int32())), ("last", pa.int32()), ("mask", pa.int64())])
 
 
 def runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_length: int = 1) -> DataFrame:
@@ -66,15 +70,18 @@ def disjoint(places: list[int], weights: list[int], count: int = PIVOTS, width:
     return list(best[count][-1][1])
 
 
-def choose(word: str, ranks: dict[str, tuple[int, int]]) -> tuple[list[int], list[int], int]:
-    """Places of the prefix and of the pivots, rank of the prefix's last bigram.
+def choose(word: str, ranks: dict[str, tuple[int, int]]) -> tuple[list[int], list[int], int, int]:
+    """Places of the prefix and of the pivots, rank of the prefix's last bigram, mask of all bigrams.
 
     ``ranks`` has the rank and the number of words of every bigram.
     """
     known = [ranks[word[i : i + GRAM]] for i in range(len(word) - GRAM + 1)]
     last = sorted(rank for rank, _ in known)[PREFIX - 1]
     prefix = [i for i, (rank, _) in enumerate(known) if rank <= last]
-    return prefix, disjoint(prefix, [known[i][1] for i in prefix]), last
+    mask = 0
+    for rank, _ in known:
+        mask |= 1 << rank % 64
+    return prefix, disjoint(prefix, [known[i][1] for i in prefix]), last, mask
 
 
 def _half(length, place, whole, tail):
@@ -105,13 +112,14 @@ def near_words(words: DataFrame) -> DataFrame:
     def chosen(batch: pa.Array) -> pa.Array:
         found = [choose(w, ranks) for w in batch.to_pylist()]
         lists = [_lists([f[i] for f in found]) for i in (0, 1)]
-        return pa.StructArray.from_arrays([*lists, pa.array([f[2] for f in found], pa.int32())], fields=list(_CHOSEN))
+        masks = np.array([f[3] for f in found], np.uint64).view(np.int64)
+        return pa.StructArray.from_arrays([*lists, pa.array([f[2] for f in found], pa.int32()), pa.array(masks)], fields=list(_CHOSEN))
 
     rows = stored(words.select("word", "n", chosen("word").alias("c")), "pivots").select("word", "n", "c.*")
     word, length, place = F.col("word"), F.length("word"), F.col("place")
-    entries = rows.select(F.explode("prefix").alias("place"), "word", "n", "last").select(
+    entries = rows.select(F.explode("prefix").alias("place"), "word", "n", "last", "mask").select(
         F.explode(F.array(*[_key(*_half(length, place, word, tail)) for tail in (0, 1)])).alias("key"),
-        F.col("word").alias("w_r"), F.col("n").alias("n_r"), F.col("last").alias("last_r"),
+        F.col("word").alias("w_r"), F.col("n").alias("n_r"), F.col("last").alias("last_r"), F.col("mask").alias("mask_r"),
     )
 
     def probe(longer, shift, tail):
@@ -120,13 +128,14 @@ def near_words(words: DataFrame) -> DataFrame:
 
     # The other word as long, longer or shorter by one; an edit before the pivot moves it and leaves its tail.
     looks = [probe(longer, longer * tail, tail) for longer in (0, 1, -1) for tail in (0, 1)]
-    probes = rows.select(F.explode("pivots").alias("place"), "word", "n", "last").select(
-        F.explode(F.array(*looks)).alias("key"), F.col("word").alias("w_s"), F.col("n").alias("n_s"), F.col("last").alias("last_s")
+    probes = rows.select(F.explode("pivots").alias("place"), "word", "n", "last", "mask").select(
+        F.explode(F.array(*looks)).alias("key"),
+        F.col("word").alias("w_s"), F.col("n").alias("n_s"), F.col("last").alias("last_s"), F.col("mask").alias("mask_s"),
     )
     # The planner takes no account of how long the exploded lists are: without the hint it may broadcast them.
     found = probes.hint("merge").join(entries, "key").where(
-        (F.col("last_s") <= F.col("last_r")) & (F.col("w_s") != F.col("w_r"))
-        & (F.abs(F.length("w_s") - F.length("w_r")) <= 1) & (F.levenshtein("w_s", "w_r", 1) == 1)
+        (F.col("last_s") <= F.col("last_r")) & (F.bit_count(F.col("mask_s").bitwiseXOR(F.col("mask_r"))) <= MAX_BITS)
+        & (F.col("w_s") != F.col("w_r")) & (F.levenshtein("w_s", "w_r", 1) == 1)
     )
     turned = F.col("w_s") > F.col("w_r")
     ends = [F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name) for x, y, name in
@@ -134,9 +143,6 @@ def near_words(words: DataFrame) -> DataFrame:
     return found.select(*ends).distinct()
 
 
-_CHOSEN_DDL = "struct<prefix:array<int>,pivots:array<int>,last:int>"
-
-
 def _lists(rows):
     ends = np.zeros(len(rows) + 1, np.int32)
     np.cumsum([len(r) for r in rows], out=ends[1:])
