@@ -5,10 +5,10 @@ minimum only the low ``BITS`` bits are kept, packed into a few words, and the si
 of a pair is estimated from the number of equal places, corrected for those that agree by chance.
 Pairs whose estimate is not hopelessly low are confirmed by the intersection of the full sets.
 
-Equal sets are one node throughout.  A bucket's members do not meet in pairs: each is first compared
-with the bucket's smallest and largest node, which joins a group of near copies after one round.
-Only members that are still apart from the bucket's first component meet the bucket's others, in
-blocks of bounded size, so no link is lost.
+Equal sets are one node throughout.  A bucket's members do not meet in pairs.  Each node is first compared
+with the most central member of its buckets, then, where it is still apart, with a few more of each.  Nodes that stay
+apart from a bucket's leading component look for partners by their rarest shingles: of so many that two linked sets
+cannot differ in all of them, one is shared.  That loses no link, and rare shingles have few owners.
 """
 
 from math import comb
@@ -30,8 +30,7 @@ BANDS = 32
 HASHES = BANDS * BAND_ROWS
 SEED = 11
 # Chance that the estimate of a pair right at the threshold falls below the cut.
-LOSS = 1e-9
-BLOCK = 1024
+LOSS = 1e-6
 
 _PACKED = HASHES * BITS // 64
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -157,54 +156,90 @@ def _likely(pairs, sets, percent):
     return both.where(_alike("low_a", "low_b", "n_a", "n_b", percent)).select("a", "b")
 
 
-def _confirmed(pairs, sets, docs, percent, width):
-    """The pairs whose full sets are as similar as asked; ``docs`` has the row keys and ``_text``."""
-    pairs = stored(pairs, "candidates")
-    if pairs.isEmpty():
-        return pairs
-    ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    needed = sets.join(ends.withColumnRenamed("a", "node"), "node").select("node", "key.*")
+def _full_sets(nodes, sets, docs, width):
+    """node, full: the whole sets of some nodes; ``docs`` has the row keys and ``_text``."""
+    needed = sets.join(nodes.select("node").distinct(), "node").select("node", "key.*")
     keys = [c for c in needed.columns if c != "node"]
     texts = docs.join(needed, keys).select("node", "_text").dropDuplicates(["node"])
-    full = stored(texts.select("node", shingle_column(F.col("_text"), width).alias("full")), "full-sets")
+    return stored(texts.select("node", shingle_column(F.col("_text"), width).alias("full")), "full-sets")
+
+
+def _confirmed(pairs, full, percent):
+    """The pairs whose full sets are as similar as asked."""
     both = pairs.join(full.toDF("a", "full_a"), "a").join(full.toDF("b", "full_b"), "b")
     shared = F.size(F.array_intersect("full_a", "full_b"))
     linked = 100 * shared >= percent * (F.size("full_a") + F.size("full_b") - shared)
     return stored(both.where(linked).select("a", "b"), "confirmed")
 
 
+def _checked(pairs, sets, docs, percent, width):
+    """Pairs (a, b) by signature, then by full sets."""
+    pairs = stored(_likely(pairs.distinct(), sets, percent), "candidates")
+    if pairs.isEmpty():
+        return pairs
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    return _confirmed(pairs, _full_sets(ends, sets, docs, width), percent)
+
+
 def _ordered(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
+def _rooted(rows, roots, node, name):
+    """``rows`` with the component of the column ``node``; a node without links is its own."""
+    known = roots.select(F.col("node").alias(node), F.col("root").alias(name))
+    return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def _by_rarest(apart, others, sets, docs, percent, width):
+    """Links between nodes of ``apart`` and of ``others`` (node, root each) in different components."""
+    apart, others = stored(apart, "apart"), stored(others, "others")
+    if apart.isEmpty():
+        return apart.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    full = _full_sets(others, sets, docs, width)
+    owned = full.select("node", F.explode("full").alias("shingle"))
+    owners = owned.groupBy("shingle").agg(F.count("*").alias("owners"))
+    listed = owned.join(apart.select("node"), "node", "left_semi").join(owners, "shingle")
+    ranked = listed.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("owners", "shingle"))).alias("s"))
+    # Of a set of n at least percent of its shingles are in any set it is linked with.
+    size = F.size("s")
+    spare = size - F.ceil(size * percent / 100).cast("int") + 1
+    rarest = ranked.select(F.col("node").alias("x"), F.explode(F.slice("s", F.lit(1), spare)).alias("e")).where("e.owners > 1")
+    met = rarest.select("x", "e.shingle").hint("merge").join(owned, "shingle").where(F.col("x") != F.col("node"))
+    met = met.select("x", "node").distinct()
+    met = met.join(apart.toDF("x", "root_x"), "x").join(others, "node").where(F.col("root_x") != F.col("root"))
+    pairs = stored(_likely(met.select(*_ordered("x", "node")).distinct(), sets, percent), "candidates")
+    return _confirmed(pairs, full, percent)
+
+
 def set_links(sets: DataFrame, docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """Links (a, b) whose components are those of all links between the nodes of ``sets``."""
     entries = sets.select(F.explode("bands").alias("band"), "node")
-    buckets = entries.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi"))
     # Most keys are those of a single set.
-    crowded = stored(buckets.where(F.col("size") > 1), "buckets")
-    members = stored(entries.join(crowded, "band"), "members")
-    pivots = members.select("node", F.explode(F.array("lo", "hi")).alias("pivot")).where(F.col("node") != F.col("pivot"))
-    first = _confirmed(_likely(pivots.select(*_ordered("node", "pivot")).distinct(), sets, percent), sets, docs, percent, width)
-
-    roots = components(first, "a", "b")
-    known = members.select("band", "size", "lo", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lead = roots.select(F.col("node").alias("lo"), F.col("root").alias("lo_root"))
-    known = known.join(lead, "lo", "left").withColumn("apart", F.col("root") != F.coalesce("lo_root", "lo"))
-    known = stored(known.select("band", "size", "node", "root", "apart"), "known")
+    crowded = entries.groupBy("band").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    members = stored(entries.join(stored(crowded, "buckets"), "band"), "members")
+    # The more company a node has over all its buckets, the more central it is.
+    central = members.groupBy("node").agg(F.sum("size").alias("company"))
+    leads = members.join(central, "node").groupBy("band").agg(
+        F.max_by("node", "company").alias("lead"), F.max("company").alias("company"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    members = stored(members.join(leads, "band").select("band", "node", "lead", "company", "lo", "hi"), "led")
+
+    pairs = members.groupBy("node").agg(F.max_by("lead", "company").alias("lead")).where(F.col("node") != F.col("lead"))
+    links = _checked(pairs.select(*_ordered("node", "lead")), sets, docs, percent, width)
+
+    roots = components(links, "a", "b")
+    known = _rooted(members, roots, "node", "root")
+    pairs = known.select("node", "root", F.explode(F.array("lead", "lo", "hi")).alias("pivot")).distinct()
+    pairs = _rooted(pairs, roots, "pivot", "pivot_root").where(F.col("root") != F.col("pivot_root"))
+    links = links.unionByName(_checked(pairs.select(*_ordered("node", "pivot")), sets, docs, percent, width))
+
+    roots = components(links, "a", "b")
+    known = _rooted(_rooted(members.select("band", "node", "lead"), roots, "node", "root"), roots, "lead", "lead_root")
+    known = stored(known.withColumn("apart", F.col("root") != F.col("lead_root")), "known")
     mixed = known.where("apart").select("band").distinct()
-    # The members of mixed buckets, dealt to blocks; those apart from the first component go to every block.
-    blocks = F.ceil(F.col("size") / BLOCK)
-    side = sets.select("node", "low", "n")
-    dealt = known.join(mixed, "band").join(side, "node")
-    every = dealt.select("band", "node", "root", "low", "n", F.pmod(F.xxhash64("node"), blocks).cast("long").alias("block"))
-    alone = dealt.where("apart").select(
-        "band", F.col("node").alias("node_a"), F.col("root").alias("root_a"), F.col("low").alias("low_a"), F.col("n").alias("n_a"),
-        F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))).alias("block"))
-    met = alone.hint("merge").join(every, ["band", "block"]).where(
-        (F.col("root_a") != F.col("root")) & _alike("low_a", "low", "n_a", "n", percent))
-    rest = met.select(*_ordered("node_a", "node")).distinct()
-    return first.unionByName(_confirmed(rest, sets, docs, percent, width))
+    apart = known.where("apart").select("node", "root").distinct()
+    others = known.join(mixed, "band", "left_semi").select("node", "root").distinct()
+    return links.unionByName(_by_rarest(apart, others, sets, docs, percent, width))
 
 
 def near_duplicates(

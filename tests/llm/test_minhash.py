@@ -46,9 +46,19 @@ def test_chains_and_groups_right_at_the_threshold(spark):
     check(spark, spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3))
 
 
-def test_a_bucket_of_many_that_are_not_all_linked(spark, monkeypatch):
-    # All share most minima with the same passage; blocks are small, so members are dealt to several.
-    monkeypatch.setattr(minhash, "BLOCK", 4)
+def test_variants_of_one_text_of_which_only_some_are_linked(spark):
+    r = random.Random(4)
+    words, rows = [f"b{i}" for i in range(60)], []
+    for _ in range(70):
+        own = list(words)
+        for _ in range(r.randint(1, 9)):
+            own[r.randrange(60)] = f"n{r.random()}"
+        rows.append(" ".join(own))
+    check(spark, spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string"))
+
+
+def test_a_bucket_of_many_that_are_not_all_linked(spark):
+    # All share most minima with the same passage.
     r = random.Random(9)
     passage = [f"p{i}" for i in range(60)]
     rows = [" ".join(passage + [f"t{r.randrange(60)}_{i}" for i in range(r.randint(5, 40))]) for _ in range(60)]
