@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Earth radius in metres and the degree-to-radian factor.
 EARTH_RADIUS_M = 6370693.5
 RADIANS = 0.01745329252
+KM_A_DEGREE = EARTH_RADIUS_M * RADIANS / 1000
 
 
 # The parts of a position that every distance from it needs, computed once per row.

@@ -3,13 +3,17 @@
 All of these take a table or a stream on the left and a table on the right.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewatch.session import written
+from platewatch.session import new_folder, written
 
 # Largest plate set that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# About how much of a larger set one bucket holds.
+BUCKET_BYTES = 32 * 1024 * 1024
 
 
 def plate_set(rows: DataFrame) -> DataFrame:
@@ -30,12 +34,26 @@ def frozen(plates: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Write the plates to the checkpoint folder once, and measure them.
 
     What was read stays the same for the life of a stream, also after executors are lost.
-    Only a set measured to be small is broadcast; a larger one joins by shuffle.
+    Only a set measured to be small is broadcast; a larger one is kept in buckets, so that joins with it
+    shuffle the other side alone.
     """
     kept = written(plates)
     size = F.count("*") * 16 * len(kept.columns) + F.sum(F.octet_length(F.col("plate")))
     measured = kept.agg(size).first()[0] or 0
-    return F.broadcast(kept) if measured <= max_bytes else kept
+    return F.broadcast(kept) if measured <= max_bytes else bucketed(kept, 1 + measured // BUCKET_BYTES)
+
+
+def bucketed(plates: DataFrame, buckets: int) -> DataFrame:
+    """The plates as a table of hash buckets in the shared folder, one sorted file each.
+
+    There are at least as many buckets as the session has shuffle partitions, so that a join takes over their number.
+    """
+    spark = plates.sparkSession
+    buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = f"plates_{uuid.uuid4().hex}"
+    rows = plates.repartition(buckets, "plate").write.bucketBy(buckets, "plate").sortBy("plate")
+    rows.option("path", new_folder(spark, "plates")).saveAsTable(name)
+    return spark.table(name)
 
 
 def watchlist_alerts(sightings: DataFrame, watchlist: DataFrame) -> DataFrame:

@@ -153,3 +153,43 @@ def test_missing_sites_are_places_like_others(spark, heavy):
         spark, [("T", "10:00:00", None, 113.0, 0.0), ("T", "10:00:00", None, 113.0, 0.0), ("T", "10:30:00", "k2", 114.0, 0.0)]
     )
     assert sorted((r.id_a, r.id_b) for r in clone_plate_pairs(rows, heavy=heavy).collect()) == [(1, 3), (2, 3)]
+
+
+def far_away(rng, rows):
+    """Some positions spoilt: half a world away, and beside the date line."""
+    return [(p, t, s, *rng.choice([(0.0, 0.0), (179.99, -5.0), (-179.99, -5.0)])) if rng.random() < 0.06 else (p, t, s, x, y)
+            for p, t, s, x, y in rows]
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("heavy", [{}, {"p0": 100}, clone.EVERY_PLATE])
+def test_layers_give_the_pairs_of_brute_force(spark, seed, heavy):
+    rng = random.Random(seed)
+    rows = far_away(rng, random_rows(rng, 200, hot="p0", span=200_000))
+    frame = sightings(spark, rows)
+    pairs = clone_plate_pairs(frame, heavy=heavy, layered=True).collect()
+    got = [(min(r.id_a, r.id_b), max(r.id_a, r.id_b)) for r in pairs]
+    assert len(got) == len(set(got)) and set(got) == fast_pairs(rows)
+    same = clone_plate_pairs(frame, heavy=heavy, layered=False, flag_simultaneous=True)
+    assert plain(same) == plain(clone_plate_pairs(frame, heavy=heavy, layered=True, flag_simultaneous=True))
+
+
+def test_a_wrong_position_costs_few_candidates(spark):
+    rng = random.Random(1)
+    rows = random_rows(rng, 3000, plates=20, span=30 * 86_400)
+    counts = {}
+    for name, part in (("clean", rows), ("spoilt", [(*r[:3], 0.0, 0.0) if i % 300 == 0 else r for i, r in enumerate(rows)])):
+        frame, gap, _, layered = clone._measure(sightings(spark, part), 180, None, None, None)
+        timed = clone._timed(frame, False)
+        counts[name] = clone._meetings(timed, gap, 180, layered).count()
+        assert layered == (name == "spoilt")
+        counts[f"{name} in one width"] = clone._meetings(timed, gap, 180, False).count()
+    assert counts["spoilt"] <= 1.5 * counts["clean"] and counts["spoilt in one width"] > 5 * counts["clean"], counts
+
+
+def test_report_leaves_other_plates_out_before_the_shuffle(spark):
+    rows = sightings(spark, [*two("10:00:00", "10:30:00"), ("Q", "10:00:00", "k1", 113.0, 0.0)])
+    report = clone_plate_report(clone_plate_pairs(rows), rows, 3, "2024-02-01 00:00:00")
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and sorted(r.id for r in report.collect()) == [1, 2]
+    assert "BroadcastHashJoin" in plan_of(report)
