@@ -1,5 +1,6 @@
 """Where a stream of alerts goes.  Writing the same micro-batch again adds nothing."""
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -11,13 +12,16 @@ from platewatch.model import ALERT_TABLE, SIGHTING
 from platewatch.sources.jdbc import Database, read_table
 
 EMPTY_ALERTS = ", ".join(f"{name} {kind}" for name, kind in (SIGHTING | {"copy": "long", "stream": "string", "batch_id": "int"}).items())
+PUBLISHED = "stream string, batch_id int, attempt string"
 
 
 @dataclass(frozen=True)
 class ParquetAlerts:
-    """A Parquet table with one folder per stream and micro-batch, replaced when the batch is repeated.
+    """A Parquet table of micro-batches, each seen whole or not at all.
 
-    A stream is known by the identity that its checkpoint keeps, so several streams, or a
+    A batch is written to a folder of its own and then published by one row of a list of batches; only
+    what the list names is read.  A failure in between shows no rows, and a batch that is repeated after it was
+    published adds none.  A stream is known by the identity that its checkpoint keeps, so several streams, or a
     stream begun anew, can share a table.  ``stream`` names it for batches written by hand.
     """
 
@@ -25,18 +29,38 @@ class ParquetAlerts:
     stream: str | None = None
 
     def append(self, alerts: DataFrame, batch_id: int) -> None:
-        running = alerts.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        spark = alerts.sparkSession
+        running = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         stream = self.stream or running or "by-hand"
-        alerts.write.mode("overwrite").parquet(f"{self.path}/stream={stream}/batch_id={batch_id}")
+        known = self._published(spark)
+        if not known.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty():
+            return
+        attempt = uuid.uuid4().hex
+        alerts.write.parquet(f"{self.path}/data/stream={stream}/batch_id={batch_id}/attempt={attempt}")
+        self._publish(spark, stream, batch_id, attempt)
+
+    def _publish(self, spark, stream, batch_id, attempt):
+        entry = spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch_id).cast("int").alias("batch_id"), F.lit(attempt).alias("attempt"))
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
+
+    def _published(self, spark):
+        return _read_or_empty(spark, f"{self.path}/published", PUBLISHED)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """All alerts; before the first batch a table without rows."""
-        try:
-            return spark.read.parquet(self.path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], EMPTY_ALERTS)
+        """All alerts of published batches; before the first batch a table without rows."""
+        # Should two drivers have published one batch, the first attempt by name counts.
+        chosen = self._published(spark).groupBy("stream", "batch_id").agg(F.min("attempt").alias("attempt"))
+        rows = _read_or_empty(spark, f"{self.path}/data", f"{EMPTY_ALERTS}, attempt string")
+        return rows.join(chosen, ["stream", "batch_id", "attempt"], "left_semi").drop("attempt")
+
+
+def _read_or_empty(spark, path, schema):
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,7 @@ then open only the days they need, and within a day only the row groups.
 """
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,18 +14,34 @@ from platewatch.functions.clock import moment_literal
 from platewatch.model import SIGHTING
 
 _DAY = "day"
+# Columns that single values are looked up by: each row group tells which it cannot hold.
+LOOKUP = ("id", "plate")
 
 
 def append_to_store(sightings: DataFrame, path: str) -> None:
     """Add sightings; ids become text, sightings without a time go to a folder of their own.
 
     Rows are dealt by ranges of day and time, so a day has few files, a crowded day is
-    written by several tasks, and each file covers a short stretch of time.
+    written by several tasks, and each file covers a short stretch of time.  Row groups carry Bloom
+    filters of ids and plates, as large as their values need.
     """
     rows = sightings.select(*[F.col(c).cast(kind).alias(c) for c, kind in SIGHTING.items()])
     rows = rows.withColumn(_DAY, F.to_date("pass_time"))
     order = [_DAY, "pass_time", "plate", "id"]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(_DAY).mode("append").parquet(path)
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in LOOKUP} | {"parquet.bloom.filter.adaptive.enabled": "true"}
+    ranges.write.options(**filters).partitionBy(_DAY).mode("append").parquet(path)
+
+
+def look_up(spark: SparkSession, path: str, values: list[str], column: str = "id", **span) -> DataFrame:
+    """Sightings with one of a few ids, or plates; row groups that cannot hold any are skipped.
+
+    ``span`` is ``since`` and ``until`` of ``read_store``.  Values go to the scan ten at a time, as that many are looked up one by one.
+    """
+    if column not in LOOKUP:
+        raise ValueError(f"look up by one of {LOOKUP}")
+    found = [read_store(spark, path, **span).where(F.col(column).isin(values[i : i + 10])) for i in range(0, len(values), 10)]
+    return reduce(DataFrame.unionByName, found) if found else read_store(spark, path, **span).where(F.lit(False))
 
 
 def read_store(

@@ -50,3 +50,22 @@ def test_an_empty_set_is_fine(spark, arrivals, known):
     nothing = membership.frozen(membership.plate_set(known.where("false")))
     assert plates(membership.first_entry(arrivals, nothing)) == ["A", "B", "Z", "Z"]
     assert plates(membership.seen_before(arrivals, nothing)) == []
+
+
+def test_a_large_set_joins_without_being_shuffled(spark):
+    rows = spark.createDataFrame([("A", 1), ("B", 2), ("Z", 3), (None, 4)], "plate string, id long")
+    known = spark.createDataFrame([("A",), ("B",), ("B",), (None,)], "plate string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = membership.frozen(membership.plate_set(known), max_bytes=0)
+        for join, expected in ((membership.seen_before, ["A", "B"]), (membership.first_entry, [None, "Z"])):
+            found = join(rows, kept)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            # One exchange, on the side of the sightings; the buckets are read as they lie.
+            assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+            assert sorted((r.plate for r in found.collect()), key=str) == sorted(expected, key=str)
+        counts = membership.frozen(membership.plate_counts(known), max_bytes=0)
+        assert membership.seen_before_repeated(rows, counts).count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

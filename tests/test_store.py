@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from platewatch.model import SIGHTING
 from platewatch.sinks.alerts import ParquetAlerts
 from platewatch.sources.messages import dead_entries, decode_messages
-from platewatch.sources.store import append_to_store, read_store
+from platewatch.sources.store import append_to_store, look_up, read_store
 
 FIELDS = ", ".join(f"{n} {'string' if n == 'pass_time' else k}" for n, k in SIGHTING.items())
 TIMES = ["2024-01-01 23:59:59", "2024-01-02 00:00:00", "2024-01-02 12:00:00", "2024-01-03 00:00:00", None]
@@ -98,3 +98,35 @@ def test_entry_without_plate_or_time_is_set_aside(spark, entry, reason):
     if "2024-13" in entry:
         assert dead.time_text == "2024-13-01 10:00:00" and '"HPHM":"B"' in dead.entry
     assert read.dead_letters.count() == 0
+
+
+def test_a_lookup_skips_row_groups_that_cannot_hold_the_value(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.concat(F.lit("id"), F.crc32(F.col("id").cast("string"))).alias("id"), F.concat(F.lit("p"), F.col("id") % 5000).alias("plate"),
+        F.lit(None).cast("string").alias("brand"), F.lit("").alias("colour"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("pass_time"),
+        F.lit("k").alias("site_id"), F.lit(1.0).alias("lon"), F.lit(2.0).alias("lat"))
+    path = str(tmp_path / "store")
+    # So many files as the table has stretches of time, though it is small.
+    usual = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in usual}
+    try:
+        for key, value in usual.items():
+            spark.conf.set(key, value)
+        append_to_store(rows, path)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    sought = [r.id for r in rows.limit(3).collect()]
+    found = look_up(spark, path, sought)
+    assert ids(found) == sorted(sought)
+    plan = found._jdf.queryExecution().executedPlan()
+    scans = plan.collectLeaves()
+    read = sum(scans.apply(i).metrics().apply("numOutputRows").value() for i in range(scans.length()))
+    # Ids are in no order, so least and largest values rule nothing out: the filters do.
+    assert 0 < read < 20_000
+    assert look_up(spark, path, []).count() == 0
+    many = [r.plate for r in rows.select("plate").distinct().limit(25).collect()]
+    assert look_up(spark, path, many, "plate").count() == 25 * 8
+    with pytest.raises(ValueError):
+        look_up(spark, path, ["x"], "brand")

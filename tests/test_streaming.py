@@ -11,6 +11,7 @@ from platewatch.sources.messages import decode_messages
 from platewatch.streaming.alerts import (
     start_dead_letters,
     start_first_entry,
+    start_first_entry_once,
     start_seen_before,
     start_watchlist_alerts,
 )
@@ -194,3 +195,55 @@ def test_streams_share_a_table(spark, tmp_path):
     rows = target.read(spark).collect()
     assert sorted(r["id"] for r in rows) == [0, 0, 1, 1, 2, 2]
     assert len({r["stream"] for r in rows}) == 2
+
+
+def arrive(spark, folder, name, rows):
+    """Sightings (plate, moment) as one more file of a stream."""
+    frame = sightings(spark, [(p, m, "k", 1.0, 2.5) for p, m in rows])
+    frame.withColumn("id", F.col("id") + F.lit(100 * name)).coalesce(1).write.mode("append").parquet(folder)
+    return frame.schema
+
+
+@pytest.mark.parametrize("max_broadcast", [0, 1 << 20])
+def test_a_new_plate_is_reported_once_over_batches_and_restarts(spark, tmp_path, known, max_broadcast):
+    folder, target = str(tmp_path / "in"), ParquetAlerts(str(tmp_path / "out"))
+    parts = [
+        [("Z", "10:05:00"), ("Z", "10:00:00"), ("A", "10:00:00")],
+        [("Z", "11:00:00"), ("Y", "11:00:00"), ("Y", "11:00:00"), (None, "11:00:00")],
+        [("Y", "9:00:00"), ("B", "9:00:00"), ("X", "9:00:00")],
+    ]
+    for number, part in enumerate(parts):
+        schema = arrive(spark, folder, number, part)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        start_first_entry_once(
+            stream, lambda: known, target, str(tmp_path / "cp"), trigger=ONCE, max_broadcast=max_broadcast
+        ).awaitTermination()
+    # Of a batch the earliest, of equal times the smaller id; whole rows come back as they were.
+    assert plain(target.read(spark).select("plate", "id", "pass_time", "lon", "lat")) == [
+        ("X", 203, at("9:00:00"), 1.0, 2.5), ("Y", 102, at("11:00:00"), 1.0, 2.5), ("Z", 2, at("10:00:00"), 1.0, 2.5)]
+
+
+def test_a_plate_not_seen_for_long_is_new_again(spark, tmp_path, known):
+    folder, target = str(tmp_path / "in"), ParquetAlerts(str(tmp_path / "out"))
+    for number, part in enumerate(([("Z", "10:00:00")], [("Z", "10:30:00"), ("Y", "10:30:00")], [("Y", "13:00:00")], [("Y", "13:30:00")], [("Z", "14:00:00")])):
+        schema = arrive(spark, folder, number, part)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        start_first_entry_once(stream, lambda: known, target, str(tmp_path / "cp"), forget_after_s=3600, trigger=ONCE).awaitTermination()
+    found = plain(target.read(spark).select("plate", "pass_time"))
+    assert found.count(("Z", at("10:00:00"))) == 1 and found.count(("Z", at("14:00:00"))) == 1
+    assert ("Z", at("10:30:00")) not in found and ("Y", at("13:30:00")) not in found
+
+
+def test_a_batch_that_was_not_published_shows_no_rows(spark, tmp_path, monkeypatch):
+    rows = sightings(spark, [("A", "10:00:00", "k1", 1.0, 1.0), ("B", "10:00:00", "k1", 1.0, 1.0)])
+    target = ParquetAlerts(str(tmp_path / "out"), stream="s")
+    with monkeypatch.context() as broken:
+        broken.setattr(ParquetAlerts, "_publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            target.append(rows, 0)
+    assert target.read(spark).count() == 0
+    target.append(rows.limit(1), 1)
+    assert target.read(spark).count() == 1
+    target.append(rows, 0)
+    target.append(rows, 0)
+    assert target.read(spark).count() == 3 and {r.batch_id for r in target.read(spark).collect()} == {0, 1}
