@@ -7,6 +7,7 @@ from platewatch.plans.queries import (
     KNOWN_UNTIL,
     RUN_ID,
     RUN_TIME,
+    SOUGHT,
     TRAIL_ROWS,
     WIDER_S,
     WIDE_S,
@@ -57,6 +58,9 @@ def _measured(source):
 _CLOCK12 = """SELECT * REPLACE (CASE WHEN hour(pass_time) = 12 THEN sec - 43200 ELSE sec END AS sec) FROM s"""
 _SAME_HOUR = "SELECT * REPLACE (date_trunc('hour', pass_time) AS pass_time, sec - sec % 3600 AS sec) FROM s"
 
+_OUTLIER = """SELECT * REPLACE (CASE WHEN id % 500 = 0 THEN 0 ELSE lon END AS lon, CASE WHEN id % 500 = 0 THEN 0 ELSE lat END AS lat)
+    FROM s"""
+
 _ALL_PAIRS = """t a JOIN t b
     ON a.plate = b.plate AND (a.sec < b.sec OR (a.sec = b.sec AND a.id < b.id))"""
 
@@ -186,6 +190,12 @@ ORACLE = {
     "first_entry_stored": _texted(_FIRST_ENTRY),
     "clone_plate_pairs_same_hour": f"""{_pairs(_SAME_HOUR, "speed_kmh > 180 OR (hours = 0 AND distance_km > 0)")}
         SELECT * FROM p""",
+    "clone_plate_pairs_outlier": f"{_pairs(_OUTLIER)} SELECT * FROM p",
+    "stored_lookup": _texted(f"{_SIGHTINGS} SELECT {_FIELDS} FROM s WHERE plate IN {SOUGHT}"),
+    "seen_before_bucketed": _REPEATED,
+    "first_entry_stream_once": f"""{_SIGHTINGS}
+        SELECT {_FIELDS} FROM s WHERE plate NOT IN ({_KNOWN})
+        QUALIFY row_number() OVER (PARTITION BY plate ORDER BY pass_time, id) = 1""",
     "leg_speeds_clock12": f"{_LEGS12} SELECT * FROM p",
     "clone_report_all_pairs": f"{_report(_pairs())} {_CLONE_TABLE}",
     "clone_watchlist_at_limit": f"{_pairs()} SELECT DISTINCT plate FROM p",

@@ -18,7 +18,7 @@ from platewatch.sources.files import COTRAVEL_NEEDS, HISTORY_NEEDS, read_sightin
 from platewatch.sources.kafka import read_message_files, stored_offset
 from platewatch.sources.messages import dead_entries as entries_set_aside
 from platewatch.sources.messages import decode_messages as decode
-from platewatch.sources.store import append_to_store, read_store
+from platewatch.sources.store import append_to_store, look_up, read_store
 from platewatch.streaming import alerts
 
 CUTOFF = datetime(2024, 1, 15)
@@ -32,6 +32,7 @@ MESSAGE_ROWS = 200
 TRAIL_ROWS = 7
 GROUP_PLATES = 3
 PIECE_ROWS = 2_000
+SOUGHT = tuple(str(n) for n in range(3, 60, 5))
 ALERT_FIELDS = ["id", "plate", "brand", "colour", "pass_time", "site_id"]
 
 
@@ -58,6 +59,11 @@ def stored_sightings_since(spark, folder):
     return read_store(spark, _store(spark, folder), since=CUTOFF).select(*ALERT_FIELDS)
 
 
+def stored_lookup(spark, folder):
+    """All sightings of a few plates, by the filters that the store keeps."""
+    return look_up(spark, _store(spark, folder), list(SOUGHT), "plate").select(*ALERT_FIELDS)
+
+
 def first_entry_stored(spark, folder):
     path = _store(spark, folder)
     known = read_store(spark, path, until=KNOWN_UNTIL)
@@ -136,6 +142,13 @@ def clone_plate_pairs_heavy(spark, folder):
     return clone.clone_plate_pairs(read_events(spark, folder), heavy=clone.EVERY_PLATE)
 
 
+def clone_plate_pairs_outlier(spark, folder):
+    """One site's position is sometimes read as (0, 0), half a world away from the others."""
+    lost = F.col("id") % 500 == 0
+    rows = read_events(spark, folder).withColumns({c: F.when(lost, 0.0).otherwise(F.col(c)) for c in ("lon", "lat")})
+    return clone.clone_plate_pairs(rows)
+
+
 def clone_plate_adjacent(spark, folder):
     return clone.clone_plate_adjacent(read_events(spark, folder))
 
@@ -360,6 +373,34 @@ def seen_before_stream(spark, folder):
     )
 
 
+def first_entry_stream_once(spark, folder):
+    """The events come in three parts, each followed by a stream that is stopped and started again."""
+    place = new_folder(spark, "alerts")
+    target = ParquetAlerts(f"{place}/table")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    day = [F.lit(str(t)).cast("timestamp_ntz") for t in (KNOWN_UNTIL, CUTOFF)]
+    for part in (F.col("ts") < day[0], (F.col("ts") >= day[0]) & (F.col("ts") < day[1]), F.col("ts") >= day[1]):
+        events.where(part).write.mode("append").parquet(f"{place}/events")
+        stream = events_as_sightings(spark.readStream.schema(events.schema).parquet(f"{place}/events"))
+        alerts.start_first_entry_once(
+            stream, lambda: _known(spark, folder), target, f"{place}/checkpoint", trigger={"availableNow": True}
+        ).awaitTermination()
+    return target.read(spark).select(*ALERT_FIELDS)
+
+
+def seen_before_bucketed(spark, folder):
+    """The history is kept in buckets, as one too large to be broadcast."""
+    return _alerts_of(
+        spark,
+        alerts.start_seen_before,
+        _event_stream(spark, folder),
+        lambda: _known(spark, folder),
+        [*ALERT_FIELDS, "copy"],
+        repeated=True,
+        max_broadcast=0,
+    )
+
+
 def seen_before_repeated_stream(spark, folder):
     return _alerts_of(
         spark,
@@ -507,6 +548,7 @@ QUERIES = {
         clone_plate_pairs_simultaneous,
         clone_plate_pairs_same_hour,
         clone_plate_pairs_heavy,
+        clone_plate_pairs_outlier,
         clone_plate_adjacent,
         leg_speeds,
         leg_speeds_clock12,
@@ -528,6 +570,7 @@ QUERIES = {
         cotravel_result,
         first_entry,
         first_entry_stored,
+        stored_lookup,
         seen_before,
         seen_before_counted,
         seen_before_repeated,
@@ -539,6 +582,8 @@ QUERIES = {
         first_entry_stream,
         seen_before_stream,
         seen_before_repeated_stream,
+        seen_before_bucketed,
+        first_entry_stream_once,
         message_alerts_stream,
         message_alerts_bad_time,
         decode_messages,
