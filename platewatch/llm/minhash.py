@@ -7,8 +7,8 @@ Pairs whose estimate is not hopelessly low are confirmed by the intersection of
 
 Equal sets are one node throughout.  A bucket's members do not meet in pairs.  Each node is first compared
 with the most central member of its buckets, then, where it is still apart, with a few more of each.  Nodes that stay
-apart from a bucket's leading component look for partners by their rarest shingles: of so many that two linked sets
-cannot differ in all of them, one is shared.  That loses no link, and rare shingles have few owners.
+apart from the component of a bucket's lead meet all that the lead has in its buckets, in blocks of bounded size whose
+task compares signatures, then full sets, and puts out only links.  That loses no link and lists no pairs.
 """
 
 from math import comb
@@ -31,6 +31,8 @@ HASHES = BANDS * BAND_ROWS
 SEED = 11
 # Chance that the estimate of a pair right at the threshold falls below the cut.
 LOSS = 1e-6
+# Nodes of a group that one task compares with as many others.
+BLOCK = 512
 
 _PACKED = HASHES * BITS // 64
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -191,25 +193,68 @@ def _rooted(rows, roots, node, name):
     return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _by_rarest(apart, others, sets, docs, percent, width):
-    """Links between nodes of ``apart`` and of ``others`` (node, root each) in different components."""
-    apart, others = stored(apart, "apart"), stored(others, "others")
-    if apart.isEmpty():
-        return apart.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    full = _full_sets(others, sets, docs, width)
-    owned = full.select("node", F.explode("full").alias("shingle"))
-    owners = owned.groupBy("shingle").agg(F.count("*").alias("owners"))
-    listed = owned.join(apart.select("node"), "node", "left_semi").join(owners, "shingle")
-    ranked = listed.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("owners", "shingle"))).alias("s"))
-    # Of a set of n at least percent of its shingles are in any set it is linked with.
-    size = F.size("s")
-    spare = size - F.ceil(size * percent / 100).cast("int") + 1
-    rarest = ranked.select(F.col("node").alias("x"), F.explode(F.slice("s", F.lit(1), spare)).alias("e")).where("e.owners > 1")
-    met = rarest.select("x", "e.shingle").hint("merge").join(owned, "shingle").where(F.col("x") != F.col("node"))
-    met = met.select("x", "node").distinct()
-    met = met.join(apart.toDF("x", "root_x"), "x").join(others, "node").where(F.col("root_x") != F.col("root"))
-    pairs = stored(_likely(met.select(*_ordered("x", "node")).distinct(), sets, percent), "candidates")
-    return _confirmed(pairs, full, percent)
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _block_links(apart: pa.Table, others: pa.Table, percent: int) -> pa.Table:
+    """Links (a, b) between the rows of two blocks in different components, one for each node and component."""
+    if not apart.num_rows or not others.num_rows:
+        return _LINKS.empty_table()
+
+    def columns(table):
+        table = table.combine_chunks()
+        full = table.column("full").chunk(0)
+        low = table.column("low").chunk(0).flatten().to_numpy().view(np.uint64).reshape(-1, _PACKED)
+        return table.column("node").to_numpy(), table.column("root").to_numpy(), low, full.flatten().to_numpy(), np.diff(full.offsets.to_numpy())
+
+    nodes, roots, low, values, sizes = columns(others)
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], np.repeat(np.arange(len(nodes)), sizes)[order]
+    fold, least = np.uint64(sum(1 << j for j in range(0, 64, BITS))), least_matches(percent)
+    found, at = [], 0
+    x_nodes, x_roots, x_low, x_values, x_sizes = columns(apart)
+    for node, root, own_low, size in zip(x_nodes, x_roots, x_low, x_sizes):
+        own, at = x_values[at : at + size], at + size
+        likely = (roots != root) & (100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size))
+        differ, width = low ^ own_low, 1
+        while width < BITS:
+            differ = differ | differ >> np.uint64(width)
+            width *= 2
+        likely &= HASHES - np.bitwise_count(differ & fold).sum(1, dtype=np.int64) >= least
+        if not likely.any():
+            continue
+        # How many of the node's shingles each of the others owns: runs of equal values, all owners together.
+        begin, end = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+        runs = end - begin
+        places = np.repeat(begin - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+        shared = np.bincount(owners[places], minlength=len(nodes))
+        linked = np.flatnonzero(likely & (100 * shared >= percent * (sizes + size - shared)))
+        _, firsts = np.unique(roots[linked], return_index=True)
+        found += [(min(node, other), max(node, other)) for other in nodes[linked[firsts]]]
+    return pa.table([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=_LINKS)
+
+
+def _apart_links(known, sets, docs, percent, width):
+    """Links of nodes apart from the component of a node that leads one of their buckets, with all that it leads.
+
+    ``known`` has lead, node, root and apart.  Nodes meet in blocks of at most ``BLOCK``: what a task holds does not
+    grow with a group, and it puts out links only, never the pairs that it looks at.
+    """
+    known = stored(known.distinct(), "led-nodes")
+    groups = known.groupBy("lead").agg(F.count("*").alias("others"), F.count_if("apart").alias("aparts")).where(F.col("aparts") > 0)
+    known = known.join(groups, "lead")
+    full = _full_sets(known, sets, docs, width)
+    rich = known.join(sets.select("node", "low").join(full, "node"), "node")
+
+    def dealt(rows, own, other):
+        blocks = {c: F.ceil(F.col(c) / BLOCK).cast("int") for c in (own, other)}
+        mine, every = F.pmod(F.xxhash64("node"), blocks[own]).cast("int"), F.explode(F.sequence(F.lit(0), blocks[other] - 1))
+        # New names for the same columns keep the two sides apart.
+        columns = [F.col(c).alias(c) for c in ("lead", "node", "root", "low", "full")]
+        return rows.select(*columns, mine.alias(own), every.alias(other)).groupBy("lead", "aparts", "others")
+
+    meet = dealt(rich.where("apart"), "aparts", "others").cogroup(dealt(rich, "others", "aparts"))
+    return stored(meet.applyInArrow(lambda a, b: _block_links(a, b, percent), "a bigint, b bigint"), "apart-links")
 
 
 def set_links(sets: DataFrame, docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -234,12 +279,9 @@ def set_links(sets: DataFrame, docs: DataFrame, percent: int = PERCENT, width: i
     links = links.unionByName(_checked(pairs.select(*_ordered("node", "pivot")), sets, docs, percent, width))
 
     roots = components(links, "a", "b")
-    known = _rooted(_rooted(members.select("band", "node", "lead"), roots, "node", "root"), roots, "lead", "lead_root")
-    known = stored(known.withColumn("apart", F.col("root") != F.col("lead_root")), "known")
-    mixed = known.where("apart").select("band").distinct()
-    apart = known.where("apart").select("node", "root").distinct()
-    others = known.join(mixed, "band", "left_semi").select("node", "root").distinct()
-    return links.unionByName(_by_rarest(apart, others, sets, docs, percent, width))
+    known = _rooted(_rooted(members.select("node", "lead"), roots, "node", "root"), roots, "lead", "lead_root")
+    known = known.select("lead", "node", "root", (F.col("root") != F.col("lead_root")).alias("apart"))
+    return links.unionByName(_apart_links(known, sets, docs, percent, width))
 
 
 def near_duplicates(

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from platewatch.llm import minhash
 from tests.llm.cases import ROWS, awkward, nothing
@@ -46,7 +47,9 @@ def test_chains_and_groups_right_at_the_threshold(spark):
     check(spark, spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3))
 
 
-def test_variants_of_one_text_of_which_only_some_are_linked(spark):
+@pytest.mark.parametrize("block", [512, 16])
+def test_variants_of_one_text_of_which_only_some_are_linked(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
     r = random.Random(4)
     words, rows = [f"b{i}" for i in range(60)], []
     for _ in range(70):
