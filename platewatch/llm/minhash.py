@@ -6,9 +6,9 @@ of a pair is estimated from the number of equal places, corrected for those that
 Pairs whose estimate is not hopelessly low are confirmed by the intersection of the full sets.
 
 Equal sets are one node throughout.  A bucket's members do not meet in pairs.  Each node is first compared
-with the most central member of its buckets, then, where it is still apart, with a few more of each.  Nodes that stay
-apart from the component of a bucket's lead meet all that the lead has in its buckets, in blocks of bounded size whose
-task compares signatures, then full sets, and puts out only links.  That loses no link and lists no pairs.
+with the most central member, the lead, of its buckets.  Nodes that this leaves apart from a bucket's lead
+meet all that the lead has in its buckets, in blocks of bounded size whose task compares signatures, then full
+sets, and puts out only links that join something.  That loses no link and lists no pairs.
 """
 
 from math import comb
@@ -174,30 +174,18 @@ def _confirmed(pairs, full, percent):
     return stored(both.where(linked).select("a", "b"), "confirmed")
 
 
-def _checked(pairs, sets, docs, percent, width):
-    """Pairs (a, b) by signature, then by full sets."""
-    pairs = stored(_likely(pairs.distinct(), sets, percent), "candidates")
-    if pairs.isEmpty():
-        return pairs
+def _star_links(pairs, sets, docs, percent, width):
+    """The links among pairs (a, b), by signature, then by full sets."""
+    pairs = stored(_likely(pairs, sets, percent), "candidates")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     return _confirmed(pairs, _full_sets(ends, sets, docs, width), percent)
 
 
-def _ordered(a, b):
-    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
-
-
-def _rooted(rows, roots, node, name):
-    """``rows`` with the component of the column ``node``; a node without links is its own."""
-    known = roots.select(F.col("node").alias(node), F.col("root").alias(name))
-    return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
-
-
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _block_links(apart: pa.Table, others: pa.Table, percent: int) -> pa.Table:
-    """Links (a, b) between the rows of two blocks in different components, one for each node and component."""
+    """Links (a, b) between the rows of two blocks, as many as join different components."""
     if not apart.num_rows or not others.num_rows:
         return _LINKS.empty_table()
 
@@ -211,7 +199,13 @@ def _block_links(apart: pa.Table, others: pa.Table, percent: int) -> pa.Table:
     order = np.argsort(values, kind="stable")
     values, owners = values[order], np.repeat(np.arange(len(nodes)), sizes)[order]
     fold, least = np.uint64(sum(1 << j for j in range(0, 64, BITS))), least_matches(percent)
-    found, at = [], 0
+    found, at, top = [], 0, {}
+
+    def component(root):
+        while root in top:
+            root = top[root]
+        return root
+
     x_nodes, x_roots, x_low, x_values, x_sizes = columns(apart)
     for node, root, own_low, size in zip(x_nodes, x_roots, x_low, x_sizes):
         own, at = x_values[at : at + size], at + size
@@ -229,8 +223,11 @@ def _block_links(apart: pa.Table, others: pa.Table, percent: int) -> pa.Table:
         places = np.repeat(begin - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
         shared = np.bincount(owners[places], minlength=len(nodes))
         linked = np.flatnonzero(likely & (100 * shared >= percent * (sizes + size - shared)))
-        _, firsts = np.unique(roots[linked], return_index=True)
-        found += [(min(node, other), max(node, other)) for other in nodes[linked[firsts]]]
+        for other, other_root in zip(nodes[linked].tolist(), roots[linked].tolist()):
+            mine, theirs = component(int(root)), component(other_root)
+            if mine != theirs:
+                top[max(mine, theirs)] = min(mine, theirs)
+                found.append((min(int(node), other), max(int(node), other)))
     return pa.table([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=_LINKS)
 
 
@@ -240,7 +237,7 @@ def _apart_links(known, sets, docs, percent, width):
     ``known`` has lead, node, root and apart.  Nodes meet in blocks of at most ``BLOCK``: what a task holds does not
     grow with a group, and it puts out links only, never the pairs that it looks at.
     """
-    known = stored(known.distinct(), "led-nodes")
+    known = stored(known, "led-nodes")
     groups = known.groupBy("lead").agg(F.count("*").alias("others"), F.count_if("apart").alias("aparts")).where(F.col("aparts") > 0)
     known = known.join(groups, "lead")
     full = _full_sets(known, sets, docs, width)
@@ -265,21 +262,18 @@ def set_links(sets: DataFrame, docs: DataFrame, percent: int = PERCENT, width: i
     members = stored(entries.join(stored(crowded, "buckets"), "band"), "members")
     # The more company a node has over all its buckets, the more central it is.
     central = members.groupBy("node").agg(F.sum("size").alias("company"))
-    leads = members.join(central, "node").groupBy("band").agg(
-        F.max_by("node", "company").alias("lead"), F.max("company").alias("company"), F.min("node").alias("lo"), F.max("node").alias("hi"))
-    members = stored(members.join(leads, "band").select("band", "node", "lead", "company", "lo", "hi"), "led")
-
+    leads = members.join(central, "node").groupBy("band").agg(F.max_by("node", "company").alias("lead"), F.max("company").alias("company"))
+    members = stored(members.join(leads, "band").select("node", "lead", "company"), "led")
     pairs = members.groupBy("node").agg(F.max_by("lead", "company").alias("lead")).where(F.col("node") != F.col("lead"))
-    links = _checked(pairs.select(*_ordered("node", "lead")), sets, docs, percent, width)
-
-    roots = components(links, "a", "b")
-    known = _rooted(members, roots, "node", "root")
-    pairs = known.select("node", "root", F.explode(F.array("lead", "lo", "hi")).alias("pivot")).distinct()
-    pairs = _rooted(pairs, roots, "pivot", "pivot_root").where(F.col("root") != F.col("pivot_root"))
-    links = links.unionByName(_checked(pairs.select(*_ordered("node", "pivot")), sets, docs, percent, width))
-
-    roots = components(links, "a", "b")
-    known = _rooted(_rooted(members.select("node", "lead"), roots, "node", "root"), roots, "lead", "lead_root")
+    links = _star_links(pairs.toDF("a", "b"), sets, docs, percent, width)
+
+    # Who follows the same lead, or leads that follow the same one, is linked; that is known without rounds.
+    follows = links.select(F.col("a").alias("node"), F.col("b").alias("next"))
+    further = follows.toDF("next", "last")
+    roots = follows.join(further, "next", "left").select("node", F.coalesce("last", "next").alias("root"))
+    known = members.select("lead", "node").distinct()
+    for name, root in (("node", "root"), ("lead", "lead_root")):
+        known = known.join(roots.toDF(name, root), name, "left").withColumn(root, F.coalesce(root, name))
     known = known.select("lead", "node", "root", (F.col("root") != F.col("lead_root")).alias("apart"))
     return links.unionByName(_apart_links(known, sets, docs, percent, width))
 
