@@ -12,6 +12,9 @@ Three savings lose nothing.  Words that no item has are one symbol, as they matc
 item cut into one piece more than the edits allowed has a piece that stays whole, so only windows
 with the first words of some piece are embedded, and of these only windows with as many words of
 items as the limit demands.
+
+Items too short to be embedded are found by their pieces alone: an item, or each half of one that
+allows an edit, is looked up among all runs of as many words, and verified in the same way.
 """
 
 import re
@@ -35,16 +38,20 @@ SEED = 29
 SEED_WORDS = 3
 SEED_BITS = 20
 
+# Scripts written without spaces (Thai, Lao, Burmese, Khmer, kana, Han).
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 _FOREIGN_MARKS = re.compile(r"[^\w\x00-\x7f]+")
 _PLAIN = bytes(c if c > 127 or chr(c).isalnum() or chr(c) == "_" else 32 for c in range(256))
 _HITS = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32()), ("start", pa.int32())]))
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased runs of letters, digits and underscores, in UTF-8."""
+    """Lower-cased runs of letters, digits and underscores, in UTF-8; single characters in scripts without spaces."""
     text = (text or "").lower()
     if not text.isascii():
         text = _FOREIGN_MARKS.sub(" ", text)
+        if _UNSPACED.search(text):
+            text = _UNSPACED.sub(r" \1 ", text)
     return text.encode("utf-8", "replace").translate(_PLAIN).split()
 
 
@@ -236,6 +243,43 @@ class Index:
                     best[number] = (found[0], first + found[1])
 
 
+class ShortIndex:
+    """Items of a few words, found by pieces that the edits allowed leave whole."""
+
+    def __init__(self, items: list[tuple], share: float = EDITS_SHARE, **_):
+        self.vocabulary: dict[bytes, int] = {}
+        self.items, self.pieces = [], {}
+        for number, words in items:
+            symbols = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
+            length, limit = len(symbols), edit_limit(len(symbols), share)
+            masks: dict[int, int] = {}
+            for place, symbol in enumerate(symbols):
+                masks[symbol] = masks.get(symbol, 0) | 1 << place
+            cuts = [i * length // (limit + 1) for i in range(limit + 2)]
+            for first, end in zip(cuts, cuts[1:]):
+                piece = tuple(symbols[first:end])
+                self.pieces.setdefault(len(piece), {}).setdefault(piece, []).append((len(self.items), first))
+            self.items.append((number, masks, length, limit))
+
+    def search(self, text: str | None, any_length: bool = True) -> list[dict]:
+        """item, edits, start (word) of every item within its limit; the earliest of the places with the fewest edits."""
+        line = [self.vocabulary.get(w, 0) for w in words_of(text)]
+        best: dict[int, tuple[int, int]] = {}
+        for size, pieces in self.pieces.items():
+            begins = {piece[0] for piece in pieces}
+            for i in range(len(line) - size + 1):
+                if line[i] not in begins:
+                    continue
+                for at, place in pieces.get(tuple(line[i : i + size]), ()):
+                    number, masks, length, limit = self.items[at]
+                    first = max(0, i - place - limit)
+                    found = nearest_part(masks, length, line[first : i - place + length + limit], limit)
+                    if found:
+                        own = (found[0], first + found[1])
+                        best[number] = min(best.get(number, own), own)
+        return [{"item": n, "edits": edits, "start": start} for n, (edits, start) in sorted(best.items())]
+
+
 def repeats_needed(items: list[list[int]], codes: np.ndarray, share: float, recall: float, seed: int = SEED) -> int | None:
     """How many walks find simulated copies with the most edits allowed; None if the limit is not enough.
 
@@ -316,32 +360,33 @@ def build_index(items: list[tuple], share: float = EDITS_SHARE, recall: float =
     return Index(vocabulary, codes, groups, seeds, seeded)
 
 
-def indexes(benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, **rule) -> list[tuple[Index, list]]:
+def indexes(benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, **rule) -> list[tuple[Index | ShortIndex, list]]:
     """The benchmark as indexes of about ``block_bytes`` of text each, with the item ids of each.
 
     The benchmark is the stated query set: it is read in blocks whose size is measured
     first, so no task holds more than one block at a time per index.  Items with fewer than
-    ``MIN_WORDS`` words, null or empty are not searched.  Equal texts are searched once and
-    reported for every item.
+    ``MIN_WORDS`` words have an index of their own; null items and those without words are not
+    searched.  Equal texts are searched once and reported for every item.
     """
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     count = max(1, -(-int(size) // block_bytes))
     found = []
     for block in range(count):
         rows = benchmark.where(F.pmod(F.xxhash64(text), F.lit(count)) == block)
-        texts: dict[tuple, list] = {}
+        texts: dict[bool, dict[tuple, list]] = {True: {}, False: {}}
         for row in rows.select("item_id", text).distinct().collect():
             words = tuple(words_of(row[1]))
-            if len(words) >= MIN_WORDS:
-                texts.setdefault(words, []).append(row[0])
-        if texts:
-            ordered = sorted(texts)
-            ids = [sorted(texts[w], key=lambda i: (i is not None, i or 0)) for w in ordered]
-            found.append((build_index(list(enumerate(ordered)), **rule), ids))
+            if words:
+                texts[len(words) >= MIN_WORDS].setdefault(words, []).append(row[0])
+        for build, own in ((build_index, texts[True]), (ShortIndex, texts[False])):
+            if own:
+                ordered = sorted(own)
+                ids = [sorted(own[w], key=lambda i: (i is not None, i or 0)) for w in ordered]
+                found.append((build(list(enumerate(ordered)), **rule), ids))
     return found
 
 
-def hits_column(index: Index, ids: list, text: Column) -> Column:
+def hits_column(index: Index | ShortIndex, ids: list, text: Column) -> Column:
     """Array of (item, edits, start) per document, one entry per item id within the edit limit."""
 
     @F.arrow_udf("array<struct<item:bigint,edits:int,start:int>>")

@@ -157,3 +157,32 @@ def test_every_planted_passage_is_found(spark):
         expected |= {(row["doc_id"], i) for i, item in lines.items() if b" " + item + b" " in line}
     got = {(r["doc_id"], r["item_id"]) for r in d.contaminated(docs, items).collect()}
     assert expected and expected <= got and len(got) <= len(expected) + 2
+
+
+def test_short_items_against_brute_force():
+    r = random.Random(8)
+    items = [(n, tuple(r.choice([b"a", b"b", b"c", b"d", b"e"]) for _ in range(n % 7 + 1))) for n in range(40)]
+    index = d.ShortIndex(items)
+    for _ in range(150):
+        words = [r.choice("abcdefgh") for _ in range(r.randint(0, 25))]
+        line = [w.encode() for w in words]
+        expected = {}
+        for number, item in items:
+            limit = d.edit_limit(len(item))
+            for size in range(max(1, len(item) - limit), len(item) + limit + 1):
+                for start in range(len(line) - size + 1):
+                    edits = plain_distance(item, line[start : start + size])
+                    if edits <= limit:
+                        expected[number] = min(expected.get(number, edits), edits)
+        assert {h["item"]: h["edits"] for h in index.search(" ".join(words))} == expected
+
+
+def test_short_questions_and_scripts_without_spaces(spark):
+    chinese, long = "法国的首都是哪里", "这是一个很长的问题它没有空格但是有许多汉字所以要逐字比较"
+    benchmark = spark.createDataFrame([(1, "What is the capital of France?"), (2, chinese), (3, "  ?! "), (4, long), (5, "Zxqv")], "item_id bigint, text string")
+    rows = [(10, "So: what is the capital city of France? Paris."), (11, f"请问{chinese}？"), (12, "Nothing to see here, ?!"),
+            (13, "前言。" + long.replace("空格", "間隔") + "。后记"), (14, "what is the capital of Spain, and of Rome"), (15, "法国的天气"), (16, "zxqv"), (17, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(h["doc_id"], h["item_id"], h["edits"]) for h in d.contaminated(docs, benchmark).collect()}
+    assert found == {(10, 1, 1), (11, 2, 0), (13, 4, 2), (14, 1, 1), (16, 5, 0)}
+    assert {x["doc_id"] for x in d.decontaminate(docs, benchmark).collect()} == {12, 15, 17}
