@@ -2,7 +2,7 @@
 
 A document is the mean of the learned vectors of its hashed words and byte n-grams; a softmax
 over that mean gives the classes.  Training is stochastic gradient descent in numpy on a
-bounded sample of labelled rows.  As the mean and the layer before the softmax are linear, a
+bounded sample of labelled rows, in one task.  As the mean and the layer before the softmax are linear, a
 feature's vector is folded into one number per class difference before scoring, so executors
 receive one small table.
 """
@@ -106,19 +106,14 @@ def train(texts: list, labels: list, epochs: int = EPOCHS, rate: float = RATE) -
     size, random = 1 << BUCKET_BITS, np.random.default_rng(SEED)
     vectors = random.uniform(-1, 1, (size, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     layer, bias = np.zeros((2, DIMENSIONS), np.float32), np.zeros(2)
-    # Few large arrays rather than many small ones: the driver gives their memory back.
-    seen_parts, share_parts, ends, order = [], [], [0], []
+    # A row is a view into the few large arrays of its portion: the driver gives their memory back.
+    rows = []
     for at, ids, owner in chunks(texts):
         pairs, counts = np.unique(owner.astype(np.int64) << BUCKET_BITS | ids, return_counts=True)
         own, total = pairs >> BUCKET_BITS, np.bincount(owner, minlength=len(at))
-        seen_parts.append((pairs & (size - 1)).astype(np.int32))
-        share_parts.append((counts / total[own]).astype(np.float32))
-        ends.extend((ends[-1] + np.cumsum(np.bincount(own, minlength=len(at)))).tolist())
-        order.extend(at)
-    all_seen = np.concatenate(seen_parts) if seen_parts else np.zeros(0, np.int32)
-    all_shares = np.concatenate(share_parts) if share_parts else np.zeros(0, np.float32)
-    del seen_parts, share_parts
-    rows = [(all_seen[a:b], all_shares[a:b], int(labels[i])) for a, b, i in zip(ends, ends[1:], order)]
+        seen_all, share_all = (pairs & (size - 1)).astype(np.int32), (counts / total[own]).astype(np.float32)
+        ends = np.cumsum(np.bincount(own, minlength=len(at))).tolist()
+        rows += [(seen_all[a:b], share_all[a:b], int(labels[i])) for a, b, i in zip([0, *ends], ends, at)]
     steps, step = max(1, epochs * len(rows)), 0
     for _ in range(epochs):
         for i in random.permutation(len(rows)):
@@ -148,7 +143,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Train on at most ``sample_rows`` labelled documents, those whose id hashes lowest.
 
-    ``sample_rows`` bounds what the driver holds.  Conflicting labels of one id are averaged, ties
+    One task learns; ``sample_rows`` bounds what it holds, and the driver receives the finished model only.  Conflicting labels of one id are averaged, ties
     count as 1; a repeated id is learned from once, by its smallest text.
     """
     marked = (
@@ -160,9 +155,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     order = F.xxhash64(F.lit(SEED), "doc_id")
     chosen = marked.join(ids, "doc_id", "left_semi").orderBy(order, "doc_id").limit(sample_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.groupBy("doc_id", "_label").agg(F.min("text").alias("text")).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    return train([r["text"] for r in rows], [r["_label"] for r in rows])
+    rows = texts.groupBy("doc_id", "_label").agg(F.min("text").alias("text"))
+
+    def learn(batches):
+        columns = ("doc_id", "_label", "text")
+        rows = [row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in columns))]
+        rows.sort(key=lambda row: row[0])
+        model = train([text for _, _, text in rows], [label for _, label, _ in rows])
+        yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    learned = rows.repartition(1).mapInArrow(learn, "weights binary, bias double").first()
+    return Model(np.frombuffer(learned["weights"]), learned["bias"]) if learned else train([], [])
 
 
 def score_column(model: Model, text: Column) -> Column:
