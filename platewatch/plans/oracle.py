@@ -191,6 +191,12 @@ ORACLE = {
     "clone_plate_pairs_same_hour": f"""{_pairs(_SAME_HOUR, "speed_kmh > 180 OR (hours = 0 AND distance_km > 0)")}
         SELECT * FROM p""",
     "clone_plate_pairs_outlier": f"{_pairs(_OUTLIER)} SELECT * FROM p",
+    "clone_plate_pairs_daily": f"""{_pairs()}
+        SELECT * REPLACE (CAST(id_a AS VARCHAR) AS id_a, CAST(id_b AS VARCHAR) AS id_b) FROM p""",
+    "watchlist_alerts_as_of": f"""{_FAST}
+        SELECT {_FIELDS} FROM s
+        WHERE CASE WHEN pass_time < TIMESTAMP '{CUTOFF}' THEN plate IN (SELECT plate FROM p)
+                   ELSE plate IN (SELECT plate FROM p WHERE least(pass_time_a, pass_time_b) > TIMESTAMP '{CUTOFF}') END""",
     "stored_lookup": _texted(f"{_SIGHTINGS} SELECT {_FIELDS} FROM s WHERE plate IN {SOUGHT}"),
     "seen_before_bucketed": _REPEATED,
     "first_entry_stream_once": f"""{_SIGHTINGS}

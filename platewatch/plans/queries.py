@@ -4,12 +4,12 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from platewatch.functions.clock import format_time
+from platewatch.functions.clock import format_time, moment_literal
 from platewatch.model import CSV_FIELDS
 from platewatch.operators import clone, cotravel, membership, sequences
 from platewatch.operators.scan import sightings_since as since_cutoff
 from platewatch.operators.skew import EveryKey
-from platewatch.plans import analyses
+from platewatch.plans import analyses, daily
 from platewatch.session import new_folder
 from platewatch.sinks.alerts import ParquetAlerts
 from platewatch.sinks.messages import encode_messages, publish_to_files
@@ -18,7 +18,8 @@ from platewatch.sources.files import COTRAVEL_NEEDS, HISTORY_NEEDS, read_sightin
 from platewatch.sources.kafka import read_message_files, stored_offset
 from platewatch.sources.messages import dead_entries as entries_set_aside
 from platewatch.sources.messages import decode_messages as decode
-from platewatch.sources.store import append_to_store, look_up, read_store
+from platewatch.sources.store import append_to_store, look_up, read_store, stored_days
+from platewatch.sources.versions import PlateVersions
 from platewatch.streaming import alerts
 
 CUTOFF = datetime(2024, 1, 15)
@@ -26,6 +27,7 @@ KNOWN_UNTIL = datetime(2024, 1, 1, 12)
 RUN_ID = 7
 RUN_TIME = datetime(2024, 2, 1)
 FAST_KMH = 10_000
+REGION_KM = 3_000
 WIDE_S = 7_200
 WIDER_S = 172_800
 MESSAGE_ROWS = 200
@@ -149,6 +151,18 @@ def clone_plate_pairs_outlier(spark, folder):
     return clone.clone_plate_pairs(rows)
 
 
+def clone_plate_pairs_daily(spark, folder):
+    """Sightings enter the store in three batches, the last before the second; each time only the days around are paired anew."""
+    place = new_folder(spark, "daily")
+    sightings = read_events(spark, folder)
+    late, early = F.col("pass_time") >= moment_literal(CUTOFF), F.col("pass_time") < moment_literal(KNOWN_UNTIL)
+    for name, part in (("early", early), ("late", late), ("between", ~early & ~late)):
+        append_to_store(sightings.where(part), f"{place}/store", name)
+        days = stored_days(spark, f"{place}/store", name)
+        daily.refresh_clone_pairs(spark, f"{place}/store", f"{place}/pairs", days, widest_km=REGION_KM)
+    return daily.kept_clone_pairs(spark, f"{place}/pairs")
+
+
 def clone_plate_adjacent(spark, folder):
     return clone.clone_plate_adjacent(read_events(spark, folder))
 
@@ -322,6 +336,23 @@ def watchlist_alerts_refreshed(spark, folder):
     )
 
 
+def watchlist_alerts_as_of(spark, folder):
+    """Between two runs of a stream the watchlist gets a second version; alerts keep to what was the latest when they were raised."""
+    place = new_folder(spark, "alerts")
+    target, versions = ParquetAlerts(f"{place}/table"), PlateVersions(f"{place}/watchlist")
+    sightings = read_events(spark, folder)
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    early = F.col("ts") < moment_literal(CUTOFF)
+    for part, since in ((early, None), (~early, CUTOFF)):
+        versions.publish(clone.clone_watchlist(sightings, since, FAST_KMH))
+        events.where(part).write.mode("append").parquet(f"{place}/events")
+        stream = events_as_sightings(spark.readStream.schema(events.schema).parquet(f"{place}/events"))
+        alerts.start_versioned_alerts(
+            stream, membership.watchlist_alerts, versions, target, f"{place}/checkpoint", trigger={"availableNow": True}
+        ).awaitTermination()
+    return target.read(spark).select(*ALERT_FIELDS)
+
+
 def watchlist_alerts_two_streams(spark, folder):
     """Two streams append to one table: what passes one site, and the rest."""
     place = new_folder(spark, "alerts")
@@ -549,6 +580,7 @@ QUERIES = {
         clone_plate_pairs_same_hour,
         clone_plate_pairs_heavy,
         clone_plate_pairs_outlier,
+        clone_plate_pairs_daily,
         clone_plate_adjacent,
         leg_speeds,
         leg_speeds_clock12,
@@ -577,6 +609,7 @@ QUERIES = {
         watchlist_alerts,
         watchlist_alerts_stream,
         watchlist_alerts_refreshed,
+        watchlist_alerts_as_of,
         watchlist_alerts_two_streams,
         watchlist_alerts_restarted,
         first_entry_stream,

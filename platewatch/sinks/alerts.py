@@ -44,17 +44,18 @@ class ParquetAlerts:
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
 
     def _published(self, spark):
-        return _read_or_empty(spark, f"{self.path}/published", PUBLISHED)
+        return read_or_empty(spark, f"{self.path}/published", PUBLISHED)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All alerts of published batches; before the first batch a table without rows."""
         # Should two drivers have published one batch, the first attempt by name counts.
         chosen = self._published(spark).groupBy("stream", "batch_id").agg(F.min("attempt").alias("attempt"))
-        rows = _read_or_empty(spark, f"{self.path}/data", f"{EMPTY_ALERTS}, attempt string")
+        rows = read_or_empty(spark, f"{self.path}/data", f"{EMPTY_ALERTS}, attempt string")
         return rows.join(chosen, ["stream", "batch_id", "attempt"], "left_semi").drop("attempt")
 
 
-def _read_or_empty(spark, path, schema):
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table that may not have been begun yet."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as missing:

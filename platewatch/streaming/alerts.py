@@ -24,6 +24,7 @@ from platewatch.operators.membership import (
     seen_before_repeated,
     watchlist_alerts,
 )
+from platewatch.sources.versions import PlateVersions
 
 Join = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -56,6 +57,29 @@ def start_alerts(
     return _started(sightings, write, checkpoint, trigger, name)
 
 
+def start_versioned_alerts(
+    sightings: DataFrame,
+    join: Join,
+    versions: PlateVersions,
+    target,
+    checkpoint: str,
+    trigger: dict | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Join each micro-batch with the version of the plates that is the latest when it first runs.
+
+    A micro-batch that is repeated after a failure sees the version it saw before, whatever was published since;
+    a version is read and measured once, not for every micro-batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        target.append(join(batch, versions.seen_by(spark, stream, batch_id)), batch_id)
+
+    return _started(sightings, write, checkpoint, trigger, name)
+
+
 def _started(rows, write, checkpoint, trigger, name, mode="append"):
     writer = rows.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
