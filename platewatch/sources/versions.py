@@ -53,6 +53,8 @@ class PlateVersions:
         version = read_or_empty(spark, f"{self.path}/choices", CHOICES).where(own).agg(F.min("version")).first()[0]
         if version is None:
             version = self.latest(spark)
+            if not version:
+                raise ValueError(f"nothing has been published under {self.path}")
             _note(spark, f"{self.path}/choices", CHOICES, (stream, batch_id, version))
         if version not in self._at_hand:
             self._at_hand.clear()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from platewatch.model import SIGHTING
 from platewatch.sinks.alerts import ParquetAlerts
 from platewatch.sources.messages import dead_entries, decode_messages
-from platewatch.sources.store import append_to_store, look_up, read_store
+from platewatch.sources.store import append_to_store, look_up, read_store, stored_days
 
 FIELDS = ", ".join(f"{n} {'string' if n == 'pass_time' else k}" for n, k in SIGHTING.items())
 TIMES = ["2024-01-01 23:59:59", "2024-01-02 00:00:00", "2024-01-02 12:00:00", "2024-01-03 00:00:00", None]
@@ -59,6 +59,17 @@ def test_append_adds_and_an_empty_store_has_no_rows(spark, store, tmp_path):
     assert ids(read_store(spark, str(tmp_path / "none"))) == []
 
 
+def test_a_named_batch_replaces_itself(spark, tmp_path):
+    rows = [(str(i), "A", None, "", t, "k", None, None) for i, t in enumerate(TIMES)]
+    frame = spark.createDataFrame(rows, FIELDS).withColumn("pass_time", F.col("pass_time").cast("timestamp_ntz"))
+    path = str(tmp_path / "store")
+    append_to_store(frame, path, "one")
+    append_to_store(frame.where("id < 3"), path, "two")
+    append_to_store(frame, path, "one")
+    assert ids(read_store(spark, path)) == ["0", "0", "1", "1", "2", "2", "3", "4"]
+    assert [str(d) for d in stored_days(spark, path, "two")] == ["2024-01-01", "2024-01-02"]
+
+
 def test_alert_table_before_its_first_batch(spark, tmp_path):
     rows = ParquetAlerts(str(tmp_path / "none")).read(spark)
     assert rows.count() == 0 and {"id", "plate", "pass_time", "copy"} <= set(rows.columns)

@@ -8,11 +8,13 @@ from platewatch.sinks.alerts import ParquetAlerts, alert_key, alert_rows, missin
 from platewatch.sinks.messages import encode_messages, publish_to_files
 from platewatch.sources.kafka import read_message_files
 from platewatch.sources.messages import decode_messages
+from platewatch.sources.versions import PlateVersions
 from platewatch.streaming.alerts import (
     start_dead_letters,
     start_first_entry,
     start_first_entry_once,
     start_seen_before,
+    start_versioned_alerts,
     start_watchlist_alerts,
 )
 from tests.fixtures import at, plain, sightings
@@ -247,3 +249,43 @@ def test_a_batch_that_was_not_published_shows_no_rows(spark, tmp_path, monkeypat
     target.append(rows, 0)
     target.append(rows, 0)
     assert target.read(spark).count() == 3 and {r.batch_id for r in target.read(spark).collect()} == {0, 1}
+
+
+def test_a_repeated_batch_sees_the_version_it_saw_before(spark, tmp_path, known):
+    versions = PlateVersions(str(tmp_path / "list"))
+    assert versions.latest(spark) == 0
+    with pytest.raises(ValueError):
+        versions.seen_by(spark, "s", 0)
+    assert versions.publish(known.distinct()) == 1
+    assert plates(versions.seen_by(spark, "s", 0)) == ["A", "B"]
+    assert plates(versions.seen_by(spark, "s", 1)) == ["A", "B"]
+    assert versions.publish(known.where("plate = 'A'").distinct()) == 2
+    again = PlateVersions(str(tmp_path / "list"))
+    assert plates(again.seen_by(spark, "s", 1)) == ["A", "B"]
+    assert plates(again.seen_by(spark, "s", 2)) == plates(again.seen_by(spark, "other", 1)) == ["A"]
+    assert plates(again.read(spark, 1)) == ["A", "B"]
+
+
+def test_versioned_alerts_take_the_latest_list_and_fail_whole(spark, tmp_path, known):
+    class Failing(ParquetAlerts):
+        def append(self, alerts, batch_id):
+            alerts.collect()
+            raise RuntimeError("lost")
+
+    versions, checkpoint = PlateVersions(str(tmp_path / "list")), str(tmp_path / "cp")
+    versions.publish(known.distinct())
+    send(tmp_path / "in", "1.json", message("A", "B", "Z"))
+
+    def run(target):
+        stream = decode_messages(read_message_files(spark, str(tmp_path / "in"))).sightings
+        start_versioned_alerts(stream, membership.watchlist_alerts, versions, target, checkpoint, trigger=ONCE).awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        run(Failing(str(tmp_path / "out")))
+    versions.publish(known.where("plate = 'B'").distinct())
+    target = ParquetAlerts(str(tmp_path / "out"))
+    run(target)
+    assert plates(target.read(spark)) == ["A", "B"]  # the batch that failed had seen the first list
+    send(tmp_path / "in", "2.json", message("A", "B"))
+    run(target)
+    assert plates(target.read(spark)) == ["A", "B", "B"]
