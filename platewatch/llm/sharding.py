@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from platewatch.llm.common import free_name
+from platewatch.llm.common import free_name, stored
 from platewatch.session import new_folder
 
 SHARDS = 24
@@ -34,13 +34,16 @@ def write_shards(
     The columns shard and slot (from 0 in each shard) are added; names that are taken get a
     trailing underscore.  Rows are never merged or left out: nulls, empty texts and repeated
     rows are records like any other.  The order follows from seed, ids and texts alone; rows
-    that are equal in both may change places.  An empty table gives no rows.
+    that are equal in both may change places.  Equal rows that fill a quarter of a bucket are numbered and
+    scattered like different ones.  An empty table gives no rows.
     """
     shard, slot = free_name(docs, "shard"), free_name(docs, "slot")
     key, bucket, start = (free_name(docs, c) for c in ("_key", "_bucket", "_start"))
     keyed = docs.withColumn(key, F.xxhash64(F.lit(seed), "doc_id", "text"))
     total, size = docs.agg(F.count("*"), F.coalesce(F.sum(record_size()), F.lit(0))).first()
     buckets = max(1, -(-int(size) // bucket_bytes))
+    if buckets > 1:
+        keyed = _scattered(keyed, key, bucket_bytes)
     placed = keyed.withColumn(bucket, F.pmod(F.col(key), F.lit(buckets)))
     counts = placed.groupBy(bucket).agg(F.count("*").alias("n"))
     # One row per bucket: a small table for one window, however long the records.
@@ -67,6 +70,28 @@ def write_shards(
     return docs.sparkSession.read.schema(schema).parquet(folder)
 
 
+def _scattered(keyed, key, bucket_bytes):
+    """The rows with a key of their own each where rows of one key would fill a quarter of a bucket.
+
+    Such rows are numbered, in pieces that a task holds, so the same numbers are given however they lie.
+    """
+    piece, start, number = (free_name(keyed, c) for c in ("_piece", "_before", "_number"))
+    # Fewer than four keys for each bucket can be as large as this.
+    large = keyed.groupBy(key).agg(F.sum(record_size()).alias("size")).where(F.col("size") * 4 > bucket_bytes)
+    large = stored(large.select(key, F.ceil(F.col("size") / bucket_bytes).alias(piece)), "large-keys")
+    if large.isEmpty():
+        return keyed
+    lie = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(piece))
+    copies = stored(keyed.join(large, key).withColumn(piece, lie), "copies")
+    before = Window.partitionBy(key).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    starts = copies.groupBy(key, piece).agg(F.count("*").alias("n"))
+    starts = starts.select(key, piece, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start))
+    inside = Window.partitionBy(key, piece).orderBy(F.lit(0))
+    numbered = copies.join(starts, [key, piece]).withColumn(number, F.col(start) + F.row_number().over(inside))
+    own = numbered.withColumn(key, F.xxhash64(key, number)).select(*keyed.columns)
+    return keyed.join(large.select(key), key, "left_anti").select(*keyed.columns).unionByName(own)
+
+
 def sharded(docs: DataFrame, **rule) -> DataFrame:
     """``write_shards`` into a fresh folder of the shared place."""
     return write_shards(docs, new_folder(docs.sparkSession, "shards"), **rule)
