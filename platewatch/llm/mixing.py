@@ -18,8 +18,11 @@ from platewatch.llm.common import free_name, stored
 LEVELS = 20
 LEVELS_A_JOB = 5
 BLOCK_TOKENS = 1_000_000
-# A source's permutation is laid out in 16 ** PIECE_DIGITS pieces, so no task sorts a whole source.
-PIECE_DIGITS = 3
+# A source's permutation is laid out in pieces of about so many tokens, so no task sorts a whole source: by the
+# first hexadecimal digits of a document's key, as many as the largest source needs and at least the minimum.
+PIECE_TOKENS = 4_000_000
+LEAST_DIGITS = 3
+MOST_DIGITS = 8
 REPEAT_LIMIT = 2.0
 SEED = 5
 
@@ -90,6 +93,14 @@ def source_plan(sources: DataFrame, budget_tokens: int | None = None, **target)
     )
 
 
+def piece_digits(tokens: int) -> int:
+    """How many digits cut a source of so many tokens into small enough pieces."""
+    digits = LEAST_DIGITS
+    while digits < MOST_DIGITS and tokens > PIECE_TOKENS * 16**digits:
+        digits += 1
+    return digits
+
+
 def mixed(
     docs: DataFrame,
     source: str = "source",
@@ -116,7 +127,9 @@ def mixed(
     small = stored(counted.select(F.col(src).alias("_source"), "doc_id", F.col(n).alias("n_tokens"), F.col(hashed).alias("_texthash")), "tokens")
     totals = stored(small.groupBy("_source").agg(F.sum("n_tokens").alias("tokens")), "sources")
     plan = stored(source_plan(totals, budget_tokens, **target), "plan")
-    blocks = max(1, round((plan.agg(F.sum("quota")).first()[0] or 0) / block_tokens))
+    quota, largest = plan.agg(F.sum("quota"), F.max("tokens")).first()
+    blocks = max(1, round((quota or 0) / block_tokens))
+    digits = piece_digits(largest or 0)
 
     def permuted(rows, names):
         """Every document once per pass, with the place its key gives it."""
@@ -125,7 +138,7 @@ def mixed(
         rows = rows.withColumn(e, F.explode(F.sequence(F.lit(0), (F.col(f"{p}n") - 1).cast("int")))).drop(f"{p}n")
         who = F.coalesce(F.col("doc_id").cast("long"), F.col(h))
         key = F.md5(F.concat_ws("/", F.lit(seed), F.col(e), who, F.col(t)))
-        return rows.withColumn(o, key).withColumn(p, F.substring(o, 1, PIECE_DIGITS))
+        return rows.withColumn(o, key).withColumn(p, F.substring(o, 1, digits))
 
     names = ("_source", "epoch", "n_tokens", "_texthash", "_order", "_piece")
     sums = permuted(small, names).groupBy("_source", "epoch", "_piece").agg(F.sum("n_tokens").alias("n"))

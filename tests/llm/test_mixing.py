@@ -73,3 +73,13 @@ def test_no_python_in_the_plan(spark):
     rows = mixing.mixed(awkward(spark))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_pieces_follow_the_largest_source_and_change_nothing(spark, monkeypatch):
+    assert [mixing.piece_digits(t) for t in (0, 4_000_000 * 16**3, 4_000_000 * 16**3 + 1, 10**30)] == [3, 3, 4, 8]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted(map(str, mixing.mixed(docs, columns=["doc_id"]).collect()))
+    monkeypatch.setattr(mixing, "LEAST_DIGITS", 1)
+    assert sorted(map(str, mixing.mixed(docs, columns=["doc_id"]).collect())) == rows
+    monkeypatch.setattr(mixing, "PIECE_TOKENS", 1)
+    assert sorted(map(str, mixing.mixed(docs, columns=["doc_id"]).collect())) == rows
