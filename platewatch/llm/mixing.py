@@ -118,54 +118,55 @@ def mixed(
     trailing underscore.  No documents give no rows.
     """
     columns = docs.columns if columns is None else columns
-    own = {c: free_name(docs, c) for c in ("epoch", "block", "slot", "n_tokens")}
-    hashed, order, n = free_name(docs, "_texthash"), free_name(docs, "_order"), own["n_tokens"]
-    src, piece, start = (free_name(docs, c) for c in ("_source", "_piece", "_start"))
-    counted = docs.withColumns(
-        {src: source_key(F.col(source)), n: token_count(F.col("text")), hashed: F.xxhash64("text")}
+    epoch, block, slot, n = (free_name(docs, c) for c in ("epoch", "block", "slot", "n_tokens"))
+    names = ("_source", "_row", "_who", "_texthash", "_order", "_piece", "_start", "_quota", "_passes")
+    src, row, who, hashed, order, piece, start, quota, passes = (free_name(docs, c) for c in names)
+    text_hash = F.xxhash64("text")
+    # Rows are numbered and written once; from there only numbers and keys go through the windows, and each
+    # row's own columns meet their place at the end.
+    base = stored(
+        docs.select(
+            *columns,
+            source_key(F.col(source)).alias(src),
+            token_count(F.col("text")).alias(n),
+            text_hash.alias(hashed),
+            F.coalesce(F.col("doc_id").cast("long"), text_hash).alias(who),
+            F.monotonically_increasing_id().alias(row),
+        ),
+        "rows",
     )
-    small = stored(counted.select(F.col(src).alias("_source"), "doc_id", F.col(n).alias("n_tokens"), F.col(hashed).alias("_texthash")), "tokens")
-    totals = stored(small.groupBy("_source").agg(F.sum("n_tokens").alias("tokens")), "sources")
+    light = set(columns) <= {"doc_id", source}
+    small = base if light else base.select(src, n, hashed, who, row)
+    totals = stored(small.groupBy(F.col(src).alias("_source")).agg(F.sum(n).alias("tokens")), "sources")
     plan = stored(source_plan(totals, budget_tokens, **target), "plan")
-    quota, largest = plan.agg(F.sum("quota"), F.max("tokens")).first()
-    blocks = max(1, round((quota or 0) / block_tokens))
+    whole, largest = plan.agg(F.sum("quota"), F.max("tokens")).first()
+    blocks = max(1, round((whole or 0) / block_tokens))
     digits = piece_digits(largest or 0)
 
-    def permuted(rows, names):
-        """Every document once per pass, with the place its key gives it."""
-        s, e, t, h, o, p = names
-        rows = rows.join(plan.select(F.col("_source").alias(s), F.col("passes").alias(f"{p}n")), s)
-        rows = rows.withColumn(e, F.explode(F.sequence(F.lit(0), (F.col(f"{p}n") - 1).cast("int")))).drop(f"{p}n")
-        who = F.coalesce(F.col("doc_id").cast("long"), F.col(h))
-        key = F.md5(F.concat_ws("/", F.lit(seed), F.col(e), who, F.col(t)))
-        return rows.withColumn(o, key).withColumn(p, F.substring(o, 1, digits))
-
-    names = ("_source", "epoch", "n_tokens", "_texthash", "_order", "_piece")
-    sums = permuted(small, names).groupBy("_source", "epoch", "_piece").agg(F.sum("n_tokens").alias("n"))
-    before = Window.partitionBy("_source", "epoch").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.join(plan.select("_source", "tokens", "quota"), "_source").select(
-        F.col("_source").alias(src), F.col("epoch").alias(own["epoch"]), F.col("_piece").alias(piece),
-        (F.col("epoch") * F.col("tokens") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias(start),
-        F.col("quota").alias(f"{start}q"),
+    # Every document once per pass, with the place its key gives it.
+    rows = small.join(plan.select(F.col("_source").alias(src), F.col("passes").alias(passes)), src)
+    rows = rows.withColumn(epoch, F.explode(F.sequence(F.lit(0), (F.col(passes) - 1).cast("int")))).drop(passes)
+    key = F.md5(F.concat_ws("/", F.lit(seed), F.col(epoch), F.col(who), F.col(n)))
+    rows = rows.withColumn(order, key).withColumn(piece, F.substring(order, 1, digits))
+
+    sums = rows.groupBy(src, epoch, piece).agg(F.sum(n).alias(start))
+    before = Window.partitionBy(src, epoch).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.join(plan.select(F.col("_source").alias(src), "tokens", F.col("quota").alias(quota)), src).select(
+        src, epoch, piece, quota,
+        (F.col(epoch) * F.col("tokens") + F.coalesce(F.sum(start).over(before), F.lit(0))).alias(start),
     )
-    if set(columns) <= {"doc_id", source} and source == "source":
-        # Texts are not asked for: the small table has all that is needed.
-        base = small.select(
-            F.col("_source").alias(src), "doc_id", F.col("n_tokens").alias(n), F.col("_texthash").alias(hashed),
-            F.when(F.col("_source") != "-", F.substring("_source", 2, 1 << 30)).alias(source),
-        )
-    else:
-        base = counted
-    rows = permuted(base, (src, own["epoch"], n, hashed, order, piece)).join(sums, [src, own["epoch"], piece])
-    inside = Window.partitionBy(src, own["epoch"], piece).orderBy(order, hashed)
+    inside = Window.partitionBy(src, epoch, piece).orderBy(order, hashed)
     earlier = F.coalesce(F.sum(n).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn(start, F.col(start) + earlier).where(F.col(start) < F.col(f"{start}q"))
-    block = F.floor(F.col(start).cast("double") / F.col(f"{start}q") * F.lit(blocks))
-    rows = rows.withColumn(own["block"], F.least(block, F.lit(blocks - 1)).cast("long"))
+    rows = rows.join(sums, [src, epoch, piece]).withColumn(start, F.col(start) + earlier)
+    rows = rows.where(F.col(start) < F.col(quota))
+    place = F.floor(F.col(start).cast("double") / F.col(quota) * F.lit(blocks))
+    rows = rows.withColumn(block, F.least(place, F.lit(blocks - 1)).cast("long"))
     # The later half of the key is independent of the place that its beginning gave.
-    line = Window.partitionBy(own["block"]).orderBy(F.substring(order, 17, 16), src, hashed)
-    rows = rows.withColumn(own["slot"], (F.row_number().over(line) - 1).cast("long"))
-    return rows.select(*columns, own["epoch"], own["block"], own["slot"], n)
+    line = Window.partitionBy(block).orderBy(F.substring(order, 17, 16), src, hashed)
+    rows = rows.withColumn(slot, (F.row_number().over(line) - 1).cast("long"))
+    if not light:
+        rows = rows.select(row, epoch, block, slot, n).join(base.select(row, *columns), row)
+    return rows.select(*columns, epoch, block, slot, n)
 
 
 # The same rows; the power in closed form, as the ratio of repetitions has one.
