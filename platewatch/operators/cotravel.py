@@ -52,6 +52,24 @@ def cotravel_members(
     return _sites(members.select("gram", "plate").distinct())
 
 
+def run_positions(
+    sightings: DataFrame, n: int = SEQUENCE_LENGTH, tolerance_s: int = TOLERANCE_S, clock12: bool = False, **skew
+) -> tuple[DataFrame, Column | None]:
+    """``gram``, ``plate``, ``pos``, ``sec`` of every place of every run, and the test that tells crowded ones.
+
+    ``gram`` is the sequence as one text, as ``members_among`` takes it.
+    """
+    runs, crowded = _runs(sightings, None, n, tolerance_s, clock12, **skew)
+    return _positions(runs), crowded
+
+
+def members_among(
+    positions: DataFrame, crowded: Column | None, tolerance_s: int = TOLERANCE_S, allow_self: bool = False
+) -> DataFrame:
+    """Distinct ``gram``, ``plate`` with company at any of these positions, in the columns of ``cotravel_members``."""
+    return _sites(_neighbours(positions, crowded, tolerance_s, allow_self).distinct())
+
+
 def cotravel_groups(
     members: DataFrame, group_plates: int = GROUP_PLATES, piece_rows: int = PIECE_ROWS
 ) -> DataFrame:

@@ -235,6 +235,7 @@ ORACLE = {
     "clone_watchlist": f"{_FAST} SELECT DISTINCT plate FROM p",
     "cotravel_members": f"{_met(180)} SELECT gram, plate FROM m",
     "cotravel_groups": f"{_met(180)} {_groups()}",
+    "cotravel_groups_daily": f"{_met(180)} {_groups()}",
     "cotravel_groups_self": f"{_met(180, allow_self=True)} {_groups()}",
     "cotravel_all": f"{_met(WIDE_S, 'all')} {_groups()}",
     "cotravel_pairs": f"{_met(180)} SELECT DISTINCT gram, plate_a, plate_b FROM met WHERE plate_a < plate_b",

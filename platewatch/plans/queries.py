@@ -9,7 +9,7 @@ from platewatch.model import CSV_FIELDS
 from platewatch.operators import clone, cotravel, membership, sequences
 from platewatch.operators.scan import sightings_since as since_cutoff
 from platewatch.operators.skew import EveryKey
-from platewatch.plans import analyses, daily
+from platewatch.plans import analyses, daily, daily_cotravel
 from platewatch.session import new_folder
 from platewatch.sinks.alerts import ParquetAlerts
 from platewatch.sinks.messages import encode_messages, publish_to_files
@@ -220,6 +220,18 @@ def cotravel_groups(spark, folder):
     return _group_text(cotravel.cotravel_members(read_events(spark, folder)))
 
 
+def cotravel_groups_daily(spark, folder):
+    """Sightings enter the store in three batches, the last before the second; groups come from what was kept."""
+    place = new_folder(spark, "daily")
+    sightings = read_events(spark, folder)
+    late, early = F.col("pass_time") >= moment_literal(CUTOFF), F.col("pass_time") < moment_literal(KNOWN_UNTIL)
+    for name, part in (("early", early), ("late", late), ("between", ~early & ~late)):
+        append_to_store(sightings.where(part), f"{place}/store", name)
+        days = stored_days(spark, f"{place}/store", name)
+        daily_cotravel.refresh_cotravel(spark, f"{place}/store", f"{place}/kept", days)
+    return _group_text(daily_cotravel.kept_cotravel_members(spark, f"{place}/kept"))
+
+
 def cotravel_groups_self(spark, folder):
     return _group_text(cotravel.cotravel_members(read_events(spark, folder), allow_self=True))
 
@@ -593,6 +605,7 @@ QUERIES = {
         cotravel_members,
         cotravel_members_heavy,
         cotravel_groups,
+        cotravel_groups_daily,
         cotravel_groups_self,
         cotravel_groups_self_wide,
         cotravel_groups_parts,
