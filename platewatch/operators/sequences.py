@@ -100,11 +100,13 @@ def plate_trail(
     trail_rows: int = TRAIL_ROWS,
     heavy: dict | None = None,
     piece_rows: int = PIECE_ROWS,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """Each plate's sightings in order, as arrays: ``plate``, ``part``, ``n``, ``trail``.
 
     A trail longer than ``trail_rows`` continues in further rows, so that no array grows
-    without bound.  ``part`` counts them from 0; all but a plate's last are full.
+    without bound.  ``part`` counts them from 0; all but a plate's last are full.  ``starts`` (``plate``, ``n``) tells
+    how many earlier sightings a plate has elsewhere: its first row here then goes on with the part they end in.
     """
     rows = sightings_since(sightings, since).where(F.col("plate").isNotNull())
     rows = rows.select("plate", "pass_time", "id", "site_id")
@@ -112,13 +114,17 @@ def plate_trail(
         heavy = heavy_keys(rows, "plate")
     place = F.row_number().over(Window.partitionBy("plate").orderBy(*ORDER)) - 1
     if not heavy:
-        return _parts(rows.withColumn("_rank", place), trail_rows)
+        return _parts(rows.withColumn("_rank", place), trail_rows, starts)
     light, hot = split_rows(rows, "plate", heavy)
     numbered = ranked(hot, ["plate"], ORDER, sum(heavy.values()), piece_rows)
-    return _parts(light.withColumn("_rank", place), trail_rows).unionByName(_parts(numbered, trail_rows))
+    return _parts(light.withColumn("_rank", place), trail_rows, starts).unionByName(_parts(numbered, trail_rows, starts))
 
 
-def _parts(rows, trail_rows):
+def _parts(rows, trail_rows, starts):
+    if starts is not None:
+        # Most sightings of a stretch are of plates that the list has: it is as long as there are plates.
+        rows = rows.join(starts.select("plate", F.col("n").alias("_start")), "plate", "left")
+        rows = rows.withColumn("_rank", F.col("_rank") + F.coalesce("_start", F.lit(0))).drop("_start")
     stop = F.struct("pass_time", "id", "site_id")
     return (
         rows.withColumn("part", F.floor(F.col("_rank") / trail_rows))

@@ -1,36 +1,21 @@
 """Co-travel kept up to date stretch by stretch, so that new days do not cost the whole history."""
 
-import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from platewatch.functions.clock import moment_literal
 from platewatch.model import SEQUENCE_LENGTH, TOLERANCE_S
 from platewatch.operators.cotravel import members_among, run_positions
 from platewatch.operators.sequences import ORDER
-from platewatch.plans.daily import DAY_S, midnight
-from platewatch.sinks.alerts import read_or_empty
-from platewatch.sources.store import read_store
+from platewatch.plans.daily import DAY_S
+from platewatch.plans.stretches import next_stretch, stretches_kept
 
-STRETCHES = "number long, first date, last date, folder string"
 MEMBERS = "gram array<string>, plate string"
 _DAY = "day"
 
 
-@dataclass(frozen=True)
-class Stretch:
-    """A run of days done in one go: what was found lies in ``folder``. ``first`` is None for all there was."""
-
-    number: int
-    first: date | None
-    last: date
-    folder: str
-
-
 def refresh_cotravel(
     spark: SparkSession,
     store: str,
@@ -56,24 +41,13 @@ def refresh_cotravel(
     holds.  The rules (``n`` to ``clock12``) have to be the same in every call; ``match`` is 'any'.
     One refresh runs at a time.
     """
-    changed = set(days)
-    if not changed:
+    stretch = next_stretch(spark, kept, days)
+    if stretch is None:
         return
-    done = stretches_kept(spark, kept)
-    before = [s for s in done if s.last < min(changed)]
-    first = before[-1].last + timedelta(days=1) if before else None
-    last = max(changed | {s.last for s in done})
-    until = midnight(last + timedelta(days=1))
-    if first is None:
-        fresh = read_store(spark, store, until=until)
-    else:
-        begin = midnight(first)
-        fresh = read_store(spark, store, since=begin - timedelta(seconds=1), until=until)
-        fresh = fresh.where(F.col("pass_time") >= moment_literal(begin))
-    rows = fresh.dropna(subset=["plate", "site_id", "pass_time"]).select("plate", *ORDER, "site_id")
+    before, folder = stretch.before, stretch.folder
+    rows = stretch.sightings(spark, store).dropna(subset=["plate", "site_id", "pass_time"]).select("plate", *ORDER, "site_id")
     if before:
         rows = spark.read.schema(rows.schema).parquet(f"{before[-1].folder}/tails").unionByName(rows)
-    folder = f"{kept}/data/{uuid.uuid4().hex}"
 
     positions, crowded = run_positions(rows, n, tolerance_s, clock12, **skew)
     positions = positions.withColumn(_DAY, F.date_from_unix_date(F.floor(F.col("sec") / DAY_S).cast("int")))
@@ -81,7 +55,7 @@ def refresh_cotravel(
     dealt.write.partitionBy(_DAY).parquet(f"{folder}/positions")
     new = _positions(spark, folder, positions.schema)
     around = new
-    for old in _places_touched(spark, new, before, first, tolerance_s):
+    for old in _places_touched(spark, new, before, stretch.first, tolerance_s):
         around = around.unionByName(old)
     members_among(around.drop(_DAY), crowded, tolerance_s, allow_self).write.parquet(f"{folder}/members")
 
@@ -89,9 +63,7 @@ def refresh_cotravel(
     tails = rows.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") < n).drop("_back")
     tails.write.parquet(f"{folder}/tails")
 
-    number = max((s.number for s in done), default=0) + 1
-    published = spark.createDataFrame([(number, first, last, folder)], STRETCHES)
-    published.coalesce(1).write.mode("append").parquet(f"{kept}/stretches")
+    stretch.publish(spark, kept)
 
 
 def kept_cotravel_members(spark: SparkSession, kept: str) -> DataFrame:
@@ -102,17 +74,6 @@ def kept_cotravel_members(spark: SparkSession, kept: str) -> DataFrame:
     return spark.read.schema(MEMBERS).parquet(*folders).distinct()
 
 
-def stretches_kept(spark: SparkSession, kept: str) -> list[Stretch]:
-    """The published stretches that no later one has replaced, in order of their days; one row per refresh is read."""
-    rows = read_or_empty(spark, f"{kept}/stretches", STRETCHES).orderBy("number").collect()
-    live: list[Stretch] = []
-    for row in rows:
-        stretch = Stretch(**row.asDict())
-        # A stretch replaces all that reach its first day or lie after it.
-        live = [s for s in live if stretch.first is not None and s.last < stretch.first] + [stretch]
-    return live
-
-
 def _positions(spark, folder, schema):
     return spark.read.schema(schema).parquet(f"{folder}/positions")
 

@@ -177,6 +177,7 @@ ORACLE = {
     "sightings_since_sql": _SINCE,
     "plate_trail": _trail(10_000),
     "plate_trail_parts": _trail(TRAIL_ROWS),
+    "plate_trail_daily": _trail(TRAIL_ROWS),
     "plate_trail_parts_heavy": _trail(TRAIL_ROWS),
     "site_sequences_heavy": _sequence_text(3),
     "clone_plate_pairs_heavy": f"{_pairs()} SELECT * FROM p",

@@ -9,7 +9,7 @@ from platewatch.model import CSV_FIELDS
 from platewatch.operators import clone, cotravel, membership, sequences
 from platewatch.operators.scan import sightings_since as since_cutoff
 from platewatch.operators.skew import EveryKey
-from platewatch.plans import analyses, daily, daily_cotravel
+from platewatch.plans import analyses, daily, daily_cotravel, daily_trails
 from platewatch.session import new_folder
 from platewatch.sinks.alerts import ParquetAlerts
 from platewatch.sinks.messages import encode_messages, publish_to_files
@@ -90,6 +90,12 @@ def plate_trail_parts_heavy(spark, folder):
     return _trail_text(sequences.plate_trail(rows, trail_rows=TRAIL_ROWS, **_every(rows)))
 
 
+def plate_trail_daily(spark, folder):
+    """Trails grown by three batches, the last of them before the second."""
+    kept = _in_three_batches(spark, folder, daily_trails.refresh_trails, trail_rows=TRAIL_ROWS)
+    return _trail_text(daily_trails.kept_trails(spark, kept, TRAIL_ROWS))
+
+
 def _trail_text(trails):
     stops = F.transform("trail", lambda s: F.concat_ws("@", s["site_id"], format_time(s["pass_time"])))
     return trails.select("plate", "part", "n", F.array_join(stops, ";").alias("trail"))
@@ -151,16 +157,22 @@ def clone_plate_pairs_outlier(spark, folder):
     return clone.clone_plate_pairs(rows)
 
 
-def clone_plate_pairs_daily(spark, folder):
-    """Sightings enter the store in three batches, the last before the second; each time only the days around are paired anew."""
+def _in_three_batches(spark, folder, refresh, **rule):
+    """Sightings enter the store in three batches, the last before the second; each is followed by a refresh of what is kept."""
     place = new_folder(spark, "daily")
     sightings = read_events(spark, folder)
     late, early = F.col("pass_time") >= moment_literal(CUTOFF), F.col("pass_time") < moment_literal(KNOWN_UNTIL)
     for name, part in (("early", early), ("late", late), ("between", ~early & ~late)):
         append_to_store(sightings.where(part), f"{place}/store", name)
         days = stored_days(spark, f"{place}/store", name)
-        daily.refresh_clone_pairs(spark, f"{place}/store", f"{place}/pairs", days, widest_km=REGION_KM)
-    return daily.kept_clone_pairs(spark, f"{place}/pairs")
+        refresh(spark, f"{place}/store", f"{place}/kept", days, **rule)
+    return f"{place}/kept"
+
+
+def clone_plate_pairs_daily(spark, folder):
+    """Each time only the days around the new ones are paired anew."""
+    kept = _in_three_batches(spark, folder, daily.refresh_clone_pairs, widest_km=REGION_KM)
+    return daily.kept_clone_pairs(spark, kept)
 
 
 def clone_plate_adjacent(spark, folder):
@@ -221,15 +233,9 @@ def cotravel_groups(spark, folder):
 
 
 def cotravel_groups_daily(spark, folder):
-    """Sightings enter the store in three batches, the last before the second; groups come from what was kept."""
-    place = new_folder(spark, "daily")
-    sightings = read_events(spark, folder)
-    late, early = F.col("pass_time") >= moment_literal(CUTOFF), F.col("pass_time") < moment_literal(KNOWN_UNTIL)
-    for name, part in (("early", early), ("late", late), ("between", ~early & ~late)):
-        append_to_store(sightings.where(part), f"{place}/store", name)
-        days = stored_days(spark, f"{place}/store", name)
-        daily_cotravel.refresh_cotravel(spark, f"{place}/store", f"{place}/kept", days)
-    return _group_text(daily_cotravel.kept_cotravel_members(spark, f"{place}/kept"))
+    """Groups from what was kept of three batches, the last of them before the second."""
+    kept = _in_three_batches(spark, folder, daily_cotravel.refresh_cotravel)
+    return _group_text(daily_cotravel.kept_cotravel_members(spark, kept))
 
 
 def cotravel_groups_self(spark, folder):
@@ -582,6 +588,7 @@ QUERIES = {
         plate_trail,
         plate_trail_parts,
         plate_trail_parts_heavy,
+        plate_trail_daily,
         site_sequences,
         site_sequences_of_five,
         site_sequences_heavy,

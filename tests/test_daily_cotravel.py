@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from platewatch.operators import cotravel
-from platewatch.plans.daily_cotravel import kept_cotravel_members, refresh_cotravel, stretches_kept
+from platewatch.plans.daily_cotravel import kept_cotravel_members, refresh_cotravel
+from platewatch.plans.stretches import stretches_kept
 from platewatch.sources.store import append_to_store, read_store, stored_days
 from tests.fixtures import DAY, random_rows, sightings
 
