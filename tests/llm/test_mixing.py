@@ -83,3 +83,23 @@ def test_pieces_follow_the_largest_source_and_change_nothing(spark, monkeypatch)
     assert sorted(map(str, mixing.mixed(docs, columns=["doc_id"]).collect())) == rows
     monkeypatch.setattr(mixing, "PIECE_TOKENS", 1)
     assert sorted(map(str, mixing.mixed(docs, columns=["doc_id"]).collect())) == rows
+
+
+def test_texts_join_the_places_of_their_own_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("_row", F.concat(F.lit("x"), "doc_id"))
+    docs = docs.unionByName(docs.where("doc_id % 7 = 0"))
+    rows = mixing.mixed(docs)
+    places = ["doc_id", "epoch", "block", "slot", "n_tokens"]
+    light = mixing.mixed(docs, columns=["doc_id"]).select(places)
+    assert sorted(map(str, rows.select(places).collect())) == sorted(map(str, light.collect()))
+    own = {r["doc_id"]: tuple(r) for r in docs.collect()}
+    assert all(tuple(r) == own[r["doc_id"]] for r in rows.select(docs.columns).collect())
+
+
+def test_texts_stay_out_of_the_windows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = mixing.mixed(docs)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line]
+    assert windows and not any("text#" in line for line in windows)
+    scans = [line for line in plan.splitlines() if line.lstrip(":+- ").startswith("Relation")]
+    assert sum("text#" in line for line in scans) >= 1
