@@ -37,9 +37,7 @@ def epoch_seconds(moment: Column, clock12: bool = False) -> Column:
 
 def whole_second(moment: Column) -> Column:
     """Cut the fraction of a second."""
-    return moment_literal("1970-01-01 00:00:00") + F.make_dt_interval(
-        secs=epoch_seconds(moment).cast("decimal(18,6)")
-    )
+    return moment_literal("1970-01-01 00:00:00") + F.expr("INTERVAL '1' SECOND") * epoch_seconds(moment)
 
 
 def gap_hours(gap_seconds: Column) -> Column:

@@ -17,10 +17,12 @@ from platewatch.model import SEQUENCE_LENGTH, TOLERANCE_S
 from platewatch.operators.scan import sightings_since
 from platewatch.operators.sequences import site_sequences
 from platewatch.operators.skew import PIECE_ROWS, heavy_keys, is_heavy, ranked
-from platewatch.session import written
+from platewatch.session import new_folder, written
 
 GROUP_PLATES = 10_000
 LOOKUP_POSITIONS = 3
+# As many members without company at the first position are looked up one by one.
+MOST_OPEN = 50_000
 # Numbers first: sorting settles most comparisons on them.
 _CELL = ["sec", "pos", "gram"]
 _GROUP = ["stretch", "pos", "gram"]
@@ -52,22 +54,61 @@ def cotravel_members(
     return _sites(members.select("gram", "plate").distinct())
 
 
-def run_positions(
+def sequence_runs(
     sightings: DataFrame, n: int = SEQUENCE_LENGTH, tolerance_s: int = TOLERANCE_S, clock12: bool = False, **skew
 ) -> tuple[DataFrame, Column | None]:
-    """``gram``, ``plate``, ``pos``, ``sec`` of every place of every run, and the test that tells crowded ones.
+    """``gram``, ``plate``, ``seconds`` of every run, and the test that tells its crowded places.
 
-    ``gram`` is the sequence as one text, as ``members_among`` takes it.
+    ``gram`` is the sequence as one text, as ``run_positions`` and ``members_among`` take it.
     """
     runs, crowded = _runs(sightings, None, n, tolerance_s, clock12, **skew)
-    return _positions(runs), crowded
+    return runs.select("gram", "plate", "seconds"), crowded
+
+
+def run_positions(runs: DataFrame) -> DataFrame:
+    """``gram``, ``plate``, ``pos``, ``sec`` of every place of these runs."""
+    return _positions(runs)
 
 
 def members_among(
-    positions: DataFrame, crowded: Column | None, tolerance_s: int = TOLERANCE_S, allow_self: bool = False
+    positions: DataFrame,
+    crowded: Column | None,
+    tolerance_s: int = TOLERANCE_S,
+    allow_self: bool = False,
+    others: DataFrame | None = None,
+    most_open: int = MOST_OPEN,
 ) -> DataFrame:
-    """Distinct ``gram``, ``plate`` with company at any of these positions, in the columns of ``cotravel_members``."""
-    return _sites(_neighbours(positions, crowded, tolerance_s, allow_self).distinct())
+    """``gram``, ``plate`` with company at any of these positions, in the columns of ``cotravel_members``.
+
+    ``positions`` are all places of some runs, ``others`` places of further runs, whose members may be given
+    twice; without them members are distinct.  One position is enough, so the first one is looked at alone: where
+    it settles all but ``most_open`` members, only stretches that those are in are looked at for the
+    other positions.  ``positions`` are read several times.
+    """
+    every = positions if others is None else positions.unionByName(others)
+    if crowded is not None:
+        return _sites(_neighbours(every, crowded, tolerance_s, allow_self).distinct())
+    asked, company = _beside(every.where("pos = 0").select(*_CELL, "plate"), ["plate"], tolerance_s, allow_self)
+    found = _kept(asked.groupBy("gram", "plate").agg(F.max(company).alias("met")), "first-positions")
+    met, rest = found.where("met").select("gram", "plate"), every.where("pos > 0")
+    left = found.where("not met").select("gram", "plate")
+    if others is not None:
+        left = left.unionByName(others.select("gram", "plate"))  # their first place may not be among these
+    left = _kept(left.distinct(), "open-members")
+    if left.count() > most_open:
+        return _sites(met.unionByName(_neighbours(rest, None, tolerance_s, allow_self)).distinct())
+    # What is kept has a known size, so a short list goes to all tasks and the places are not shuffled for it.
+    groups = _overlapping(rest.join(left, ["gram", "plate"], "left_semi"), tolerance_s, both_sides=False)
+    groups = _kept(groups.select(*_GROUP).distinct(), "open-groups")
+    asked, company = _beside(rest.select(*_CELL, "plate"), ["plate"], tolerance_s, allow_self, groups)
+    late = asked.where(company).select("gram", "plate").join(left, ["gram", "plate"], "left_semi").distinct()
+    return _sites(met.unionByName(late))
+
+
+def _kept(rows, name):
+    path = new_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def cotravel_groups(
@@ -80,18 +121,21 @@ def cotravel_groups(
     """
     members = written(members.select("gram", "plate"))
     sizes = members.groupBy("gram").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > group_plates).select("gram", "n")
+    # Large sequences go by a number while their plates are ranked.
+    large = sizes.where(F.col("n") > group_plates).select("gram", "n").withColumn("_number", F.monotonically_increasing_id())
+    large = _kept(large, "large-sequences")
     total = large.agg(F.sum("n")).first()[0]
     if not total:
         return _grouped(members.withColumn("part", F.lit(0)))
     small = members.join(large, "gram", "left_anti").withColumn("part", F.lit(0))
-    numbered = ranked(members.join(large, "gram", "left_semi"), ["gram"], ["plate"], total, piece_rows)
+    numbered = ranked(members.join(large, "gram").select("_number", "plate"), ["_number"], ["plate"], total, piece_rows)
     part = F.floor(F.col("_rank") / group_plates).cast("int")
-    return _grouped(small).unionByName(_grouped(numbered.withColumn("part", part)))
+    parts = _grouped(numbered.withColumn("part", part), "_number").join(large.select("_number", "gram"), "_number")
+    return _grouped(small).unionByName(parts.select("gram", "part", "plates"))
 
 
-def _grouped(members):
-    return members.groupBy("gram", "part").agg(F.array_sort(F.collect_list("plate")).alias("plates"))
+def _grouped(members, key="gram"):
+    return members.groupBy(key, "part").agg(F.array_sort(F.collect_list("plate")).alias("plates"))
 
 
 def cotravel_pairs(
@@ -226,13 +270,30 @@ def _neighbours(rows, crowded, tolerance_s, allow_self):
     """
     items, hot = _items(rows.select(*_CELL, "plate"), crowded)
     bounds = ["low", "high"] if hot is not None else ["plate"]
+    inside = (F.col("n") > 1) if allow_self else (F.col("low") != F.col("high"))
+    items, company = _beside(items, bounds, tolerance_s, allow_self)
+    if hot is None:
+        return items.where(company).select("gram", "plate")
+    # A cell's plates all have company if it is not alone, or holds more than one itself.
+    full = items.where(company | inside).where(F.col("plate").isNull()).select(*_CELL).distinct()
+    return (
+        items.where(company & F.col("plate").isNotNull())
+        .select("gram", "plate")
+        .unionByName(hot.join(full, _CELL, "left_semi").select("gram", "plate"))
+    )
+
+
+def _beside(items, bounds, tolerance_s, allow_self, groups=None):
+    """Items in their stretches, or in those of ``groups``, and the test whether the one before or after is company."""
     order = Window.partitionBy(*_GROUP).orderBy("sec")
     beside = {}
     for name, shift in (("before", F.lag), ("after", F.lead)):
         for c in ("sec", *([] if allow_self else bounds)):
             beside[f"{c}_{name}"] = shift(c).over(order)
-    items = _overlapping(items, tolerance_s, both_sides=False).withColumns(beside)
-    inside = (F.col("n") > 1) if allow_self else (F.col("low") != F.col("high"))
+    items = _overlapping(items, tolerance_s, both_sides=False)
+    if groups is not None:
+        items = items.join(groups, _GROUP, "left_semi")
+    items = items.withColumns(beside)
     company = F.lit(False)
     for name in ("before", "after"):
         meets = F.abs(F.col("sec") - F.col(f"sec_{name}")) <= tolerance_s
@@ -242,15 +303,7 @@ def _neighbours(rows, crowded, tolerance_s, allow_self):
                 differ = differ | (F.col(c) != F.col(f"{c}_{name}"))
             meets = meets & differ
         company = company | F.coalesce(meets, F.lit(False))
-    if hot is None:
-        return items.where(company).select("gram", "plate")
-    # A cell's plates all have company if it is not alone, or holds more than one itself.
-    full = items.where(company | inside).where(F.col("plate").isNull()).select(*_CELL).distinct()
-    return (
-        items.where(company & F.col("plate").isNotNull())
-        .select("gram", "plate")
-        .unionByName(hot.join(full, _CELL, "left_semi").select("gram", "plate"))
-    )
+    return items, company
 
 
 def _accompanied(rows, crowded, tolerance_s, allow_self):

@@ -1,6 +1,6 @@
 """The registered queries: every operator on the benchmark's ``events`` table."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -160,10 +160,14 @@ def clone_plate_pairs_outlier(spark, folder):
 def _in_three_batches(spark, folder, refresh, **rule):
     """Sightings enter the store in three batches, the last before the second; each is followed by a refresh of what is kept."""
     place = new_folder(spark, "daily")
-    sightings = read_events(spark, folder)
-    late, early = F.col("pass_time") >= moment_literal(CUTOFF), F.col("pass_time") < moment_literal(KNOWN_UNTIL)
-    for name, part in (("early", early), ("late", late), ("between", ~early & ~late)):
-        append_to_store(sightings.where(part), f"{place}/store", name)
+    second = timedelta(seconds=1)
+    spans = {
+        "early": {"until": KNOWN_UNTIL},
+        "late": {"since": CUTOFF - second},
+        "between": {"since": KNOWN_UNTIL - second, "until": CUTOFF},
+    }
+    for name, span in spans.items():
+        append_to_store(read_events(spark, folder, **span), f"{place}/store", name)
         days = stored_days(spark, f"{place}/store", name)
         refresh(spark, f"{place}/store", f"{place}/kept", days, **rule)
     return f"{place}/kept"

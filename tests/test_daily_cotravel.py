@@ -40,6 +40,28 @@ def test_day_by_day_equals_the_full_run(spark, tmp_path, order):
         assert listed(kept_cotravel_members(spark, kept)) == whole
 
 
+@pytest.mark.parametrize(("most_open", "allow_self"), [(0, False), (50_000, False), (50_000, True)])
+def test_the_first_position_alone_settles_no_more_than_all_of_them(spark, most_open, allow_self):
+    """However many members it leaves open; runs that are only company may lack their first place."""
+    runs, crowded = cotravel.sequence_runs(week(spark, 3), tolerance_s=7200)
+    positions = cotravel.run_positions(runs)
+    own, later = positions.where("plate < 'p5'"), positions.where("plate >= 'p5' and pos > 0")
+    for rows, others in ((positions, None), (own, later)):
+        every = rows if others is None else rows.unionByName(others)
+        plain = cotravel._sites(cotravel._neighbours(every, crowded, 7200, allow_self).distinct())
+        got = cotravel.members_among(rows, crowded, 7200, allow_self, others, most_open)
+        assert crowded is None and listed(got if others is None else got.distinct()) == listed(plain) != []
+
+
+def test_a_stretch_keeps_one_row_a_run(spark, tmp_path):
+    rows, store, kept = week(spark, 4), str(tmp_path / "store"), str(tmp_path / "kept")
+    append_to_store(rows, store, "all")
+    refresh_cotravel(spark, store, kept, stored_days(spark, store, "all"), **NIGHT)
+    folder = stretches_kept(spark, kept)[0].folder
+    sizes = dict(rows.dropna(subset=["plate", "site_id", "pass_time"]).groupBy("plate").count().collect())
+    assert spark.read.parquet(f"{folder}/runs").count() == sum(max(0, n - 2) for n in sizes.values())
+
+
 def test_a_late_sighting_takes_members_back(spark, tmp_path):
     store, kept = str(tmp_path / "store"), str(tmp_path / "kept")
     walk = [(p, DAY + timedelta(hours=h, seconds=s), f"k{h}", 113.0, 22.0) for p, s in (("a", 0), ("b", 9)) for h in (1, 2, 3)]
